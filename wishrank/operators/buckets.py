@@ -90,28 +90,43 @@ def _lookups(indexed: DataFrame, params: Params) -> DataFrame:
     return out.filter(F.col("key").isNotNull())
 
 
+def quota(bucket_col: str, params: Params):
+    """Items a row of this bucket may contribute: floor(budget / bucket)."""
+    return F.floor(F.lit(params.budget) / F.col(bucket_col))
+
+
 def bucket_candidates(
     indexed: DataFrame,
     wset: DataFrame,
     assoc: DataFrame,
     bind: DataFrame,
     params: Params,
+    cut: bool = False,
 ) -> DataFrame:
     """(custno, bucket, goodindex, recomdlist, discounttype, importance), distinct.
 
-    ``assoc`` is either the full per-goods association table (stage parity) or
-    ``assoc_best_top`` (pipeline); both give the same lists downstream.
+    With ``cut=False`` this is the reference's full candidate table (``assoc``
+    is the full per-goods association table).  With ``cut=True`` ``assoc`` is
+    ``assoc_best_top`` and each row only takes entries that can still make its
+    quota q: association entries at position <= q of their goods' list, and
+    best-seller entries at position <= q + 1 of their list (an entry further
+    down has q + 1 entries ahead of it, at most one of which, the row's own
+    goods, is skipped).  Every stage after ``best_per_item`` is unchanged.
     """
     rows = indexed.select("custno", "bucket", "goodindex", "goodscode").filter(F.col("goodscode").isNotNull())
-    by_assoc = keyed_join(
-        rows, assoc.select("goodscode", "recomdlist", "discounttype", "importance"), ["goodscode"], "inner", params
-    ).select(*CAND_COLS)
+    acols = ["goodscode", "recomdlist", "discounttype", "importance"] + (["pos"] if cut else [])
+    by_assoc = keyed_join(rows, assoc.select(*acols), ["goodscode"], "inner", params)
+    if cut:
+        by_assoc = by_assoc.filter(F.col("pos") <= quota("bucket", params))
+    by_assoc = by_assoc.select(*CAND_COLS)
 
     looks = _lookups(indexed, params).join(code_summaries(wset), ["custno", "level", "key"], "inner")
-    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
+    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype", "pos")
+    by_best = keyed_join(looks, b, ["level", "key"], "inner", params)
+    if cut:
+        by_best = by_best.filter(F.col("pos") <= quota("bucket", params) + 1)
     by_best = (
-        keyed_join(looks, b, ["level", "key"], "inner", params)
-        .filter(~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist"))))
+        by_best.filter(~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist"))))
         .select(
             "custno",
             "bucket",
@@ -152,10 +167,9 @@ def quota_topk(best: DataFrame, params: Params) -> DataFrame:
     w = Window.partitionBy("custno", "bucket", "goodindex").orderBy(
         F.col("discounttype"), key.desc(), F.col("recomdlist")
     )
-    quota = F.floor(F.lit(params.budget) / F.col("bucket"))
     return (
         best.withColumn("_rn", F.row_number().over(w))
-        .filter((F.col("_rn") <= params.budget) & (F.col("_rn") <= quota))
+        .filter((F.col("_rn") <= params.budget) & (F.col("_rn") <= quota("bucket", params)))
         .drop("_rn")
     )
 

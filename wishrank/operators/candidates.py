@@ -101,12 +101,23 @@ def assoc_best_top(assoc: DataFrame, params: Params) -> DataFrame:
         F.col("discounttype"), F.col("_ik").desc(), F.col("recomdlist")
     )
     return (
-        best.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= params.budget)
-        .drop("_rn", "_ik")
+        best.withColumn("pos", F.row_number().over(w))
+        .filter(F.col("pos") <= params.budget)
+        .drop("_ik")
     )
 
 
+def flat_binding(bind: DataFrame, params: Params) -> DataFrame:
+    """Best-seller entries that can still reach a customer's first ``budget`` flat rows.
+
+    A row's entries from one list come in (code, item) order; an entry with
+    ``budget + 1`` entries of its list ahead of it has at least ``budget``
+    distinct rows of the same customer ahead of it (the row's own goods is
+    the only entry the row skips), so it can never be taken.
+    """
+    return bind.filter(F.col("pos") <= params.budget + 1)
+
+
 def assoc_flat_top(assoc: DataFrame, params: Params) -> DataFrame:
     """Per goods, the first ``budget`` distinct (item, importance, code) by (code, item, importance).
 
@@ -159,10 +170,17 @@ def bestsellers(weighted: DataFrame, filled: DataFrame, level: str, params: Para
 
 
 def binding(weighted: DataFrame, filled: DataFrame, params: Params) -> DataFrame:
-    """(level, catecode, recomdlist, discounttype) for both levels."""
-    return bestsellers(weighted, filled, CAT, params).withColumn("level", F.lit(CAT)).unionByName(
+    """(level, catecode, recomdlist, discounttype, pos) for both levels.
+
+    ``pos`` numbers a code's list by (code, item): later stages use it to skip
+    entries that enough better entries of the same list already beat.  The
+    table has at most 2 * k rows per code, so the window is cheap.
+    """
+    both = bestsellers(weighted, filled, CAT, params).withColumn("level", F.lit(CAT)).unionByName(
         bestsellers(weighted, filled, P2, params).withColumn("level", F.lit(P2))
     )
+    w = Window.partitionBy("level", "catecode").orderBy("discounttype", "recomdlist")
+    return both.withColumn("pos", F.row_number().over(w))
 
 
 def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
@@ -175,7 +193,7 @@ def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> D
     by_cat = rows.select("custno", "goodscode", F.lit(CAT).alias("level"), F.col("catecode"))
     by_p2 = rows.select("custno", "goodscode", F.lit(P2).alias("level"), F.col("p2code").alias("catecode"))
     look = by_cat.unionByName(by_p2).filter(F.col("catecode").isNotNull())
-    j = keyed_join(look, bind, ["level", "catecode"], "inner", params)
+    j = keyed_join(look, bind.select("level", "catecode", "recomdlist", "discounttype"), ["level", "catecode"], "inner", params)
     return (
         j.filter(F.col("goodscode") != F.col("recomdlist"))
         .select(F.col("custno").alias("cust_no"), "catecode", "recomdlist", "discounttype")

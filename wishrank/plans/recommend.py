@@ -39,6 +39,11 @@ class Recommender:
         stager: Stager | None = None,
     ):
         self.spark = spark
+        # Spark 4.1 may let a Union report its children's hash partitioning;
+        # the candidate union's children are both partitioned by customer, and
+        # with that setting on the per-customer aggregates above it skipped
+        # their shuffle and returned several rows per customer.  Keep it off.
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
         self.params = params.check()
         self.stage = stager or Stager(spark, params)
         self.raw = inputs
@@ -50,15 +55,7 @@ class Recommender:
     # ---------------------------------------------------------------- inputs
     @cached_property
     def inputs(self) -> Inputs:
-        n = normalize(self.raw)
-        s = self.stage
-        return Inputs(
-            wishlist=s(n.wishlist, "in_wishlist"),
-            popularity=s(n.popularity, "in_popularity"),
-            promotion=s(n.promotion, "in_promotion"),
-            order_assoc=s(n.order_assoc, "in_order_assoc"),
-            rule_log=s(n.rule_log, "in_rule_log"),
-        )
+        return normalize(self.raw)
 
     # ------------------------------------------------------ promotion
     def promo_flag(self) -> DataFrame:
@@ -72,7 +69,7 @@ class Recommender:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return self.stage(promo.goods_flag(self.weighted), "goods_flag")
+        return promo.goods_flag(self.weighted)
 
     # ------------------------------------------------------------ fill
     def wishlist_distinct(self) -> DataFrame:
@@ -103,7 +100,7 @@ class Recommender:
     def assoc(self) -> DataFrame:
         i = self.inputs
         rules = candidates.assoc_rules(i.order_assoc, i.rule_log)
-        return self.stage(candidates.assoc_by_goods(rules, self.flags, self.params), "assoc")
+        return candidates.assoc_by_goods(rules, self.flags, self.params)
 
     def assoc_candidates(self) -> DataFrame:
         return candidates.assoc_candidates(self.wishlist_set, self.assoc, self.params)
@@ -113,7 +110,7 @@ class Recommender:
         return self.stage(candidates.binding(self.weighted, self.wishlist_set, self.params), "binding")
 
     def bestsellers(self, level: str) -> DataFrame:
-        return self.binding.filter(self.binding.level == level).drop("level")
+        return self.binding.filter(self.binding.level == level).drop("level", "pos")
 
     def category_candidates(self) -> DataFrame:
         return candidates.category_candidates(self.wishlist_set, self.binding, self.params)
@@ -127,7 +124,9 @@ class Recommender:
         # Association rows limited per goods first (exact, see assoc_flat_top).
         top = self.stage(candidates.assoc_flat_top(self.assoc, self.params), "assoc_flat_top")
         ar = candidates.assoc_candidates(self.wishlist_set, top, self.params)
-        cands = flat.flat_candidates(ar, self.category_candidates())
+        bind = candidates.flat_binding(self.binding, self.params)
+        tp = candidates.category_candidates(self.wishlist_set, bind, self.params)
+        cands = flat.flat_candidates(ar, tp)
         return flat.flat_topk(cands, self.params)
 
     def flat_result(self) -> DataFrame:
@@ -139,7 +138,7 @@ class Recommender:
 
     @cached_property
     def indexed(self) -> DataFrame:
-        return self.stage(buckets.wishlist_index(self.wishlist_set, self.params), "indexed")
+        return buckets.wishlist_index(self.wishlist_set, self.params)
 
     def bucket_candidates_full(self) -> DataFrame:
         """The reference's per-bucket candidate tables, all buckets together."""
@@ -152,7 +151,9 @@ class Recommender:
         """Candidates with each goods' association list cut to its best ``budget``
         items (exact for every later stage)."""
         top = self.stage(candidates.assoc_best_top(self.assoc, self.params), "assoc_best_top")
-        return buckets.bucket_candidates(self.indexed, self.wishlist_set, top, self.binding, self.params)
+        return buckets.bucket_candidates(
+            self.indexed, self.wishlist_set, top, self.binding, self.params, cut=True
+        )
 
     def best_per_item(self, full: bool = True) -> DataFrame:
         """P18 over the full candidate tables (``full``) or the cut ones."""

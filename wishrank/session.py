@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.maxPlanStringLength": str(64 * 1024),
     "spark.sql.session.timeZone": "UTC",
+    # Wrong results seen with a Union over same-partitioned children (4.1).
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -26,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wishrank-ckpt-"))
     )

@@ -122,7 +122,9 @@ def derive_order_assoc(spark: SparkSession, sf_dir: str, params: Params) -> Data
         .groupBy("l_orderkey", F.col("l_partkey").alias("b_part"))
         .agg(F.sum("l_quantity").alias("b_qty"))
     )
-    pairs = keyed_join(a, b, ["l_orderkey"], "inner", params, right_small=False)
+    # Both sides are large; a hot order is left to adaptive skew-join splitting,
+    # which cuts an oversized shuffle partition on both sides at run time.
+    pairs = a.join(b, "l_orderkey", "inner")
     return (
         pairs.filter(F.col("a_part") != F.col("b_part"))
         .groupBy("a_part", "b_part")
@@ -148,7 +150,8 @@ def derive_rule_log(spark: SparkSession, sf_dir: str, params: Params) -> DataFra
         F.col("l_partkey").alias("b_part"),
         "l_discount",
     )
-    nxt = keyed_join(a, b, ["l_orderkey", "next_line"], "inner", params, right_small=False)
+    # (order, line) is a key of lineitem: no key can be hot on the right side.
+    nxt = a.join(b, ["l_orderkey", "next_line"], "inner")
     return nxt.select(
         F.col("a_part").cast("string").alias("icode"),
         F.col("b_part").cast("string").alias("rec_icode"),
