@@ -1,0 +1,72 @@
+"""Expected lists of the FIXTURES.md micro-fixture, worked out by hand from the scripts."""
+
+import pytest
+
+from wishrank import Params, Recommender
+
+from .micro import micro_inputs
+
+FINAL_B = {
+    "U1": (4, "G3,G5,G4,G2"),
+    "U2": (5, "G3,G5,G1,G4,G2"),
+    "U3": (3, "G1,G5,G2"),
+    "U4": (1, "G1"),
+    "U5": (1, "G1"),
+}
+FLAT_B = {
+    "U1": "G3,G3,G5,G3,G5,G4,G2,G2",
+    "U2": "G3,G3,G5,G1,G5,G1,G3,G5,G4,G2,G2",
+    "U3": "G1,G5,G2",
+    "U4": "G1",
+    "U5": "G1",
+}
+
+
+def _final(rec):
+    return {r.custno: (r.recomdcount, r.recomdlist) for r in rec.final_lists().collect()}
+
+
+def _flat(rec):
+    return {r.CustNO: r.Items for r in rec.flat_result().collect()}
+
+
+@pytest.mark.parametrize("materialize", [False, True])
+def test_final_lists_left(spark, materialize):
+    rec = Recommender(spark, micro_inputs(spark), Params(materialize=materialize))
+    assert _final(rec) == FINAL_B
+
+
+def test_final_lists_inner_drops_unmatched(spark):
+    rec = Recommender(spark, micro_inputs(spark), Params(fill_mode="inner", materialize=False))
+    expected = {k: v for k, v in FINAL_B.items() if k not in ("U4", "U5")}
+    assert _final(rec) == expected
+
+
+def test_flat_result(spark):
+    rec = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+    assert _flat(rec) == FLAT_B
+    inner = Recommender(spark, micro_inputs(spark), Params(fill_mode="inner", materialize=False))
+    assert _flat(inner) == {k: v for k, v in FLAT_B.items() if k not in ("U4", "U5")}
+
+
+def test_promotion_copies_and_flag(spark):
+    rec = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+    rows = rec.promo_flag().collect()
+    # G2 is listed twice, G4 once: 5 popularity rows become 6; promotype 1 = not promoted.
+    assert len(rows) == 6
+    flags = {(r.goodscode, r.promotype) for r in rows}
+    assert flags == {("G1", 1), ("G2", 0), ("G3", 1), ("G4", 0), ("G5", 1)}
+
+
+def test_unsold_and_null_items_dropped(spark):
+    rec = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+    items = {r.recomdlist for r in rec.assoc_candidates().collect()}
+    assert "G8" not in items and None not in items
+
+
+def test_fill_category_from_goods(spark):
+    rec = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+    rows = {tuple(r) for r in rec.filled_wishlist().collect()}
+    assert ("U3", "G3", "C2", "P1") in rows
+    assert ("U4", "G9", "C9", None) in rows  # category without popularity keeps a NULL parent
+    assert ("U5", "G9", None, None) in rows  # goods never sold keeps NULL category and parent
