@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import keyed_join
 from ..functions.ordering import CATEGORY_IMPORTANCE, importance_key
 from ..params import Params
-from .candidates import CAT, P2
+from .candidates import CAT, P2, code_summaries
 
 CAND_COLS = ("custno", "bucket", "goodindex", "recomdlist", "discounttype", "importance")
 
@@ -62,18 +62,6 @@ def wishlist_index(wset: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def code_summaries(wset: DataFrame) -> DataFrame:
-    """(custno, level, key, gmin, gmax): min and max goods of a customer's rows per code."""
-    by_cat = wset.select("custno", F.lit(CAT).alias("level"), F.col("catecode").alias("key"), "goodscode")
-    by_p2 = wset.select("custno", F.lit(P2).alias("level"), F.col("p2code").alias("key"), "goodscode")
-    return (
-        by_cat.unionByName(by_p2)
-        .filter(F.col("key").isNotNull() & F.col("goodscode").isNotNull())
-        .groupBy("custno", "level", "key")
-        .agg(F.min("goodscode").alias("gmin"), F.max("goodscode").alias("gmax"))
-    )
-
-
 def _lookups(indexed: DataFrame, params: Params) -> DataFrame:
     base = indexed.select("custno", "bucket", "goodindex", "catecode", "p2code")
     looks = [
@@ -111,7 +99,8 @@ def bucket_candidates(
     quota q: association entries at position <= q of their goods' list, and
     best-seller entries at position <= q + 1 of their list (an entry further
     down has q + 1 entries ahead of it, at most one of which, the row's own
-    goods, is skipped).  Every stage after ``best_per_item`` is unchanged.
+    goods, is skipped).  Every stage after ``best_per_item`` is unchanged;
+    the cut table is not de-duplicated (``best_per_item`` ignores repeats).
     """
     rows = indexed.select("custno", "bucket", "goodindex", "goodscode").filter(F.col("goodscode").isNotNull())
     acols = ["goodscode", "recomdlist", "discounttype", "importance"] + (["pos"] if cut else [])
@@ -136,7 +125,9 @@ def bucket_candidates(
             F.lit(CATEGORY_IMPORTANCE).alias("importance"),
         )
     )
-    return by_assoc.unionByName(by_best).distinct()
+    both = by_assoc.unionByName(by_best)
+    # The cut path feeds best_per_item, a max per item, which ignores repeats.
+    return both if cut else both.distinct()
 
 
 def best_per_item(cands: DataFrame, params: Params) -> DataFrame:

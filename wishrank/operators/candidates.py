@@ -183,19 +183,46 @@ def binding(weighted: DataFrame, filled: DataFrame, params: Params) -> DataFrame
     return both.withColumn("pos", F.row_number().over(w))
 
 
+def code_summaries(wset: DataFrame) -> DataFrame:
+    """(custno, level, key, gmin, gmax): min and max goods of a customer's rows per code.
+
+    A customer's rows with code ``key`` at ``level`` bring that code's
+    best-seller list, each minus its own goods; together that is the whole
+    list unless all those rows carry one and the same goods g (gmin = gmax =
+    g), in which case only g is missing.  NULL goods bring nothing.
+    """
+    by_cat = wset.select("custno", F.lit(CAT).alias("level"), F.col("catecode").alias("key"), "goodscode")
+    by_p2 = wset.select("custno", F.lit(P2).alias("level"), F.col("p2code").alias("key"), "goodscode")
+    return (
+        by_cat.unionByName(by_p2)
+        .filter(F.col("key").isNotNull() & F.col("goodscode").isNotNull())
+        .groupBy("custno", "level", "key")
+        .agg(F.min("goodscode").alias("gmin"), F.max("goodscode").alias("gmax"))
+    )
+
+
+def category_entries(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
+    """(custno, catecode, recomdlist, discounttype) for every filled row's category
+    and parent lists, minus the row's own goods; not de-duplicated."""
+    rows = filled.select("custno", "goodscode", "catecode", "p2code")
+    by_cat = rows.select("custno", "goodscode", F.lit(CAT).alias("level"), F.col("catecode"))
+    by_p2 = rows.select("custno", "goodscode", F.lit(P2).alias("level"), F.col("p2code").alias("catecode"))
+    look = by_cat.unionByName(by_p2).filter(F.col("catecode").isNotNull())
+    b = bind.select("level", "catecode", "recomdlist", "discounttype")
+    j = keyed_join(look, b, ["level", "catecode"], "inner", params)
+    return j.filter(F.col("goodscode") != F.col("recomdlist")).select(
+        "custno", "catecode", "recomdlist", "discounttype"
+    )
+
+
 def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
     """P9 (#tpdiscount): best-sellers of each row's category and parent, minus the row's goods.
 
     (cust_no, catecode, recomdlist, discounttype), distinct; catecode holds
     the category for codes 3/7 and the parent code for 4/8.
     """
-    rows = filled.select("custno", "goodscode", "catecode", "p2code").distinct()
-    by_cat = rows.select("custno", "goodscode", F.lit(CAT).alias("level"), F.col("catecode"))
-    by_p2 = rows.select("custno", "goodscode", F.lit(P2).alias("level"), F.col("p2code").alias("catecode"))
-    look = by_cat.unionByName(by_p2).filter(F.col("catecode").isNotNull())
-    j = keyed_join(look, bind.select("level", "catecode", "recomdlist", "discounttype"), ["level", "catecode"], "inner", params)
     return (
-        j.filter(F.col("goodscode") != F.col("recomdlist"))
-        .select(F.col("custno").alias("cust_no"), "catecode", "recomdlist", "discounttype")
+        category_entries(filled.distinct(), bind, params)
+        .withColumnRenamed("custno", "cust_no")
         .distinct()
     )

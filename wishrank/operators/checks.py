@@ -25,7 +25,7 @@ def coverage_checks(rec: "Recommender") -> DataFrame:
     wl = rec.inputs.wishlist
     wset = rec.wishlist_set
     final = rec.final_lists()
-    cands = rec.bucket_candidates
+    cands = rec.bucket_candidates_full()
     listed = final.select("custno")
     unlisted = wset.select("custno").distinct().join(listed, "custno", "left_anti")
     overlong = (

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import keyed_join
 from ..functions.ordering import ordered_list
 from ..params import Params
+from .candidates import code_summaries
 
 FLAT_COLS = ("CustNO", "item", "type")
 
@@ -37,6 +39,36 @@ def flat_candidates(ar: DataFrame, tp: DataFrame) -> DataFrame:
     return a.unionByName(t)
 
 
+def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
+    """Flat candidates built straight from the filled set with one de-duplication.
+
+    ``assoc_top`` and ``bind`` are already cut to what a customer's first
+    ``budget`` rows can use; association rows (with importance) and
+    best-seller rows (importance NULL) never share a code, so one distinct
+    over (customer, item, type, importance) gives both stage semantics.
+    """
+    ar = keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", params).select(
+        F.col("custno").alias("CustNO"),
+        F.col("recomdlist").alias("item"),
+        F.col("discounttype").cast("string").alias("type"),
+        F.col("importance").alias("_imp"),
+    )
+    # One entry per (customer, list) instead of one per wishlist row: rows
+    # sharing a category or parent code bring the same list.
+    summ = code_summaries(wset)
+    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
+    tp = (
+        keyed_join(summ, b, ["level", "key"], "inner", params)
+        .filter(~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist"))))
+    ).select(
+        F.col("custno").alias("CustNO"),
+        F.col("recomdlist").alias("item"),
+        F.col("discounttype").cast("string").alias("type"),
+        F.lit(None).cast("string").alias("_imp"),
+    )
+    return ar.unionByName(tp).distinct()
+
+
 def flat_topk(flat: DataFrame, params: Params) -> DataFrame:
     """P11 (CL_RedunceRecItemv4): first ``budget`` rows per customer by (type, item).
 

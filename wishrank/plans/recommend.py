@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import buckets, candidates, checks, fill, flat, lists, promo
@@ -50,7 +51,15 @@ class Recommender:
 
     @classmethod
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Recommender":
-        return cls(spark, derive_inputs(spark, sf_dir, params), params)
+        """Inputs derived from the driver tables; they stand in for base tables,
+        so each is kept once computed instead of re-deriving it per use."""
+        d = derive_inputs(spark, sf_dir, params)
+        keep = StorageLevel.MEMORY_AND_DISK
+        return cls(
+            spark,
+            Inputs(*(df.persist(keep) for df in (d.wishlist, d.popularity, d.promotion, d.order_assoc, d.rule_log))),
+            params,
+        )
 
     # ---------------------------------------------------------------- inputs
     @cached_property
@@ -123,10 +132,8 @@ class Recommender:
     def flat_topk(self) -> DataFrame:
         # Association rows limited per goods first (exact, see assoc_flat_top).
         top = self.stage(candidates.assoc_flat_top(self.assoc, self.params), "assoc_flat_top")
-        ar = candidates.assoc_candidates(self.wishlist_set, top, self.params)
         bind = candidates.flat_binding(self.binding, self.params)
-        tp = candidates.category_candidates(self.wishlist_set, bind, self.params)
-        cands = flat.flat_candidates(ar, tp)
+        cands = flat.flat_candidates_cut(self.wishlist_set, top, bind, self.params)
         return flat.flat_topk(cands, self.params)
 
     def flat_result(self) -> DataFrame:
@@ -148,12 +155,20 @@ class Recommender:
 
     @cached_property
     def bucket_candidates(self) -> DataFrame:
-        """Candidates with each goods' association list cut to its best ``budget``
-        items (exact for every later stage)."""
+        """Candidates cut to what each row's quota can still use (exact for
+        every later stage), shuffled once by customer.
+
+        After the cut a customer has at most ``max_items`` rows with at most
+        ``budget`` association and ``2 * (budget + 1)`` best-seller entries
+        each, so even the largest customer fits one task; best-per-item,
+        quota, merge and the final list all group by customer first and run
+        on this partitioning without another shuffle.
+        """
         top = self.stage(candidates.assoc_best_top(self.assoc, self.params), "assoc_best_top")
-        return buckets.bucket_candidates(
+        cands = buckets.bucket_candidates(
             self.indexed, self.wishlist_set, top, self.binding, self.params, cut=True
         )
+        return cands.repartition("custno")
 
     def best_per_item(self, full: bool = True) -> DataFrame:
         """P18 over the full candidate tables (``full``) or the cut ones."""
