@@ -70,3 +70,45 @@ def test_fill_category_from_goods(spark):
     assert ("U3", "G3", "C2", "P1") in rows
     assert ("U4", "G9", "C9", None) in rows  # category without popularity keeps a NULL parent
     assert ("U5", "G9", None, None) in rows  # goods never sold keeps NULL category and parent
+
+
+def test_null_customer_dropped_and_counted(spark):
+    from .micro import WISHLIST
+
+    inputs = micro_inputs(spark, wishlist=WISHLIST + [(None, "G1", "C1")])
+    rec = Recommender(spark, inputs, Params(materialize=False))
+    assert _final(rec) == FINAL_B
+    checks = {r.check: r.value for r in rec.coverage_checks().collect()}
+    assert checks["null_customers"] == 1
+
+
+def test_importance_order_text_vs_numeric(spark):
+    # Two order-association items of G1 off promotion (code 1): importance '9' and '10'.
+    assoc = [("G1", "G3", "9"), ("G1", "G5", "10")]
+    wish = [("U1", "G1", "C1")]
+    text = Recommender(spark, micro_inputs(spark, wishlist=wish, order_assoc=assoc, rule_log=[]),
+                       Params(materialize=False))
+    num = Recommender(spark, micro_inputs(spark, wishlist=wish, order_assoc=assoc, rule_log=[]),
+                      Params(materialize=False, importance_order="numeric"))
+    assert _final(text)["U1"][1].startswith("G3,G5")  # '9' > '10' as text
+    assert _final(num)["U1"][1].startswith("G5,G3")  # 10 > 9 as numbers
+
+
+def test_parent_backfill_option(spark):
+    # U2 has two rows (bucket 2): parent best-sellers reach it only with the option.
+    base = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+    fill = Recommender(spark, micro_inputs(spark), Params(materialize=False, parent_backfill=True))
+    parity = {r.discounttype for r in base.quota_topk().filter("custno = 'U2'").collect()}
+    backfilled = {r.discounttype for r in fill.quota_topk().filter("custno = 'U2'").collect()}
+    assert not parity & {4, 8}
+    assert backfilled & {4, 8}
+
+
+def test_write_results(spark, tmp_path):
+    from wishrank.sources.sinks import write_results
+
+    rec = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+    out = write_results(rec, path=str(tmp_path))
+    assert set(out) == {"flat_candidates", "flat_topk", "flat_result", "final_lists"}
+    back = {r.custno: (r.recomdcount, r.recomdlist) for r in spark.read.parquet(out["final_lists"]).collect()}
+    assert back == FINAL_B

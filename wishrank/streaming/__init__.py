@@ -1 +1,6 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The reference is a batch job with no streams, watermarks, windows over time or
+state, so there is no streaming operator to rebuild.  The whole pipeline is a
+set of batch DataFrame stages (see ``wishrank.plans.recommend``).
+"""
