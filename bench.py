@@ -28,8 +28,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="wishrank-bench")
-    # Warm-up on the smallest tables: JVM start, class loading, code generation.
-    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    # Warm-up on smaller tables: JVM start, class loading, code generation, JIT.
+    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
     if os.path.isdir(warm):
         w = Recommender.from_sf_dir(spark, warm, Params())
         w.final_lists().collect()

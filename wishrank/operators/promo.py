@@ -31,8 +31,9 @@ def promo_flag(popularity: DataFrame, promotion: DataFrame, params: Params) -> D
     """The promotion-flagged popularity table with every copy spelled out.
 
     Goods without a promotion row pass through once with promotype 1.  Goods
-    with promotion rows are inner-joined to the raw promotion rows, a join whose
-    hot keys (a goods repeated very often) are split on both sides.
+    with promotion rows are inner-joined to the raw promotion rows: broadcast
+    when the checked size allows, else a join whose hot keys (a goods repeated
+    very often) are split on both sides.
     """
     counts = promo_counts(promotion).select("goods_code", F.lit(1).alias("_promoted"))
     flagged = keyed_join(popularity, counts, ["goods_code"], "left", params)
@@ -45,7 +46,6 @@ def promo_flag(popularity: DataFrame, promotion: DataFrame, params: Params) -> D
         ["goods_code"],
         "inner",
         params,
-        right_small=False,
     ).select(*popularity.columns, F.lit(0).alias("promotype"))
     return _rename_mpc(plain.unionByName(promoted))
 
