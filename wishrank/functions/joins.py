@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,15 +70,9 @@ def keyed_join(
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if right_small is None:
-        # Keep the checked side so the check and the join share one computation;
-        # it is released again when it turns out too large to broadcast.
-        right = right.persist(StorageLevel.MEMORY_AND_DISK)
-        small = fits_broadcast(right, p.broadcast_rows)
-        if not small:
-            right.unpersist()
-    else:
-        small = right_small
+    # The checked sides in the pipeline are written stages or short plans over
+    # them, so checking and then joining computes them twice at low cost.
+    small = fits_broadcast(right, p.broadcast_rows) if right_small is None else right_small
     if small:
         return left.join(F.broadcast(right), on, how)
 

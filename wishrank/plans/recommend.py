@@ -49,17 +49,17 @@ class Recommender:
         self.stage = stager or Stager(spark, params)
         self.raw = inputs
 
-    @classmethod
-    def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Recommender":
-        """Inputs derived from the driver tables; they stand in for base tables,
-        so each is kept once computed instead of re-deriving it per use."""
+    @staticmethod
+    def derived_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> Inputs:
+        """Inputs derived from the driver tables.  They stand in for base tables,
+        so each is kept once computed instead of being re-derived per use."""
         d = derive_inputs(spark, sf_dir, params)
         keep = StorageLevel.MEMORY_AND_DISK
-        return cls(
-            spark,
-            Inputs(*(df.persist(keep) for df in (d.wishlist, d.popularity, d.promotion, d.order_assoc, d.rule_log))),
-            params,
-        )
+        return Inputs(*(df.persist(keep) for df in (d.wishlist, d.popularity, d.promotion, d.order_assoc, d.rule_log)))
+
+    @classmethod
+    def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Recommender":
+        return cls(spark, cls.derived_inputs(spark, sf_dir, params), params)
 
     # ---------------------------------------------------------------- inputs
     @cached_property
