@@ -33,7 +33,9 @@ def importance_key(col: Column | str, params: Params) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     if params.importance_order == "numeric":
-        return c.cast("double")
+        # try_cast: text that is not a number sorts as NULL instead of failing
+        # under ANSI mode (the Spark 4 default).
+        return c.try_cast("double")
     return c
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import keyed_join
 from ..functions.ordering import CATEGORY_IMPORTANCE, importance_key
 from ..params import Params
-from .candidates import CAT, P2, code_summaries
+from .candidates import CAT, P2, code_summaries, level_keys
 
 CAND_COLS = ("custno", "bucket", "goodindex", "recomdlist", "discounttype", "importance")
 
@@ -63,19 +63,24 @@ def wishlist_index(wset: DataFrame, params: Params) -> DataFrame:
 
 
 def _lookups(indexed: DataFrame, params: Params) -> DataFrame:
-    base = indexed.select("custno", "bucket", "goodindex", "catecode", "p2code")
-    looks = [
-        base.select("custno", "bucket", "goodindex", F.lit(CAT).alias("level"), F.col("catecode").alias("key")),
-        base.select("custno", "bucket", "goodindex", F.lit(P2).alias("level"), F.col("catecode").alias("key")),
-    ]
-    own_parent = base if params.parent_backfill else base.filter(F.col("bucket") == 1)
-    looks.append(
-        own_parent.select("custno", "bucket", "goodindex", F.lit(P2).alias("level"), F.col("p2code").alias("key"))
+    """(custno, bucket, goodindex, level, key): the lists each indexed row reads."""
+    own_parent = F.col("bucket") == 1
+    if params.parent_backfill:
+        own_parent = F.lit(True)
+    return (
+        indexed.select(
+            "custno",
+            "bucket",
+            "goodindex",
+            level_keys(
+                (CAT, F.col("catecode")),
+                (P2, F.col("catecode")),
+                (P2, F.when(own_parent, F.col("p2code"))),
+            ),
+        )
+        .select("custno", "bucket", "goodindex", "lk.level", "lk.key")
+        .filter(F.col("key").isNotNull())
     )
-    out = looks[0]
-    for extra in looks[1:]:
-        out = out.unionByName(extra)
-    return out.filter(F.col("key").isNotNull())
 
 
 def quota(bucket_col: str, params: Params):

@@ -8,7 +8,7 @@ per parent code.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import keyed_join
@@ -183,6 +183,14 @@ def binding(weighted: DataFrame, filled: DataFrame, params: Params) -> DataFrame
     return both.withColumn("pos", F.row_number().over(w))
 
 
+def level_keys(*pairs) -> Column:
+    """One (level, key) struct per pair, exploded into rows in a single pass
+    (no union of several projections of the same frame)."""
+    return F.explode(
+        F.array(*[F.struct(F.lit(level).alias("level"), key.alias("key")) for level, key in pairs])
+    ).alias("lk")
+
+
 def code_summaries(wset: DataFrame) -> DataFrame:
     """(custno, level, key, gmin, gmax): min and max goods of a customer's rows per code.
 
@@ -191,10 +199,9 @@ def code_summaries(wset: DataFrame) -> DataFrame:
     list unless all those rows carry one and the same goods g (gmin = gmax =
     g), in which case only g is missing.  NULL goods bring nothing.
     """
-    by_cat = wset.select("custno", F.lit(CAT).alias("level"), F.col("catecode").alias("key"), "goodscode")
-    by_p2 = wset.select("custno", F.lit(P2).alias("level"), F.col("p2code").alias("key"), "goodscode")
     return (
-        by_cat.unionByName(by_p2)
+        wset.select("custno", "goodscode", level_keys((CAT, F.col("catecode")), (P2, F.col("p2code"))))
+        .select("custno", "lk.level", "lk.key", "goodscode")
         .filter(F.col("key").isNotNull() & F.col("goodscode").isNotNull())
         .groupBy("custno", "level", "key")
         .agg(F.min("goodscode").alias("gmin"), F.max("goodscode").alias("gmax"))
@@ -204,10 +211,11 @@ def code_summaries(wset: DataFrame) -> DataFrame:
 def category_entries(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
     """(custno, catecode, recomdlist, discounttype) for every filled row's category
     and parent lists, minus the row's own goods; not de-duplicated."""
-    rows = filled.select("custno", "goodscode", "catecode", "p2code")
-    by_cat = rows.select("custno", "goodscode", F.lit(CAT).alias("level"), F.col("catecode"))
-    by_p2 = rows.select("custno", "goodscode", F.lit(P2).alias("level"), F.col("p2code").alias("catecode"))
-    look = by_cat.unionByName(by_p2).filter(F.col("catecode").isNotNull())
+    look = (
+        filled.select("custno", "goodscode", level_keys((CAT, F.col("catecode")), (P2, F.col("p2code"))))
+        .select("custno", "goodscode", "lk.level", F.col("lk.key").alias("catecode"))
+        .filter(F.col("catecode").isNotNull())
+    )
     b = bind.select("level", "catecode", "recomdlist", "discounttype")
     j = keyed_join(look, b, ["level", "catecode"], "inner", params)
     return j.filter(F.col("goodscode") != F.col("recomdlist")).select(
