@@ -208,29 +208,28 @@ def code_summaries(wset: DataFrame) -> DataFrame:
     )
 
 
-def category_entries(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
-    """(custno, catecode, recomdlist, discounttype) for every filled row's category
-    and parent lists, minus the row's own goods; not de-duplicated."""
-    look = (
-        filled.select("custno", "goodscode", level_keys((CAT, F.col("catecode")), (P2, F.col("p2code"))))
-        .select("custno", "goodscode", "lk.level", F.col("lk.key").alias("catecode"))
-        .filter(F.col("catecode").isNotNull())
-    )
-    b = bind.select("level", "catecode", "recomdlist", "discounttype")
-    j = keyed_join(look, b, ["level", "catecode"], "inner", params)
-    return j.filter(F.col("goodscode") != F.col("recomdlist")).select(
-        "custno", "catecode", "recomdlist", "discounttype"
-    )
-
-
 def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
     """P9 (#tpdiscount): best-sellers of each row's category and parent, minus the row's goods.
 
     (cust_no, catecode, recomdlist, discounttype), distinct; catecode holds
     the category for codes 3/7 and the parent code for 4/8.
+
+    Built from the per (customer, level, code) goods summaries: a list's
+    entries are distinct items and the two levels never share a code, so the
+    join yields every row once and no de-duplication shuffle is needed.
     """
-    return (
-        category_entries(filled.distinct(), bind, params)
-        .withColumnRenamed("custno", "cust_no")
-        .distinct()
+    return list_entries(code_summaries(filled), bind, params).select(
+        F.col("custno").alias("cust_no"),
+        F.col("key").alias("catecode"),
+        "recomdlist",
+        "discounttype",
+    )
+
+
+def list_entries(summ: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
+    """(custno, level, key, recomdlist, discounttype): each summarised list of a
+    customer, minus the goods when all of the customer's rows there carry it."""
+    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
+    return keyed_join(summ, b, ["level", "key"], "inner", params).filter(
+        ~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist")))
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import keyed_join
 from ..functions.ordering import ordered_list
 from ..params import Params
-from .candidates import code_summaries
+from .candidates import code_summaries, list_entries
 
 FLAT_COLS = ("CustNO", "item", "type")
 
@@ -43,24 +43,22 @@ def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame,
     """Flat candidates built straight from the filled set with one de-duplication.
 
     ``assoc_top`` and ``bind`` are already cut to what a customer's first
-    ``budget`` rows can use; association rows (with importance) and
-    best-seller rows (importance NULL) never share a code, so one distinct
-    over (customer, item, type, importance) gives both stage semantics.
+    ``budget`` rows can use.  Best-seller rows come once per (customer, list)
+    from the goods summaries, but one item can sit in two of a customer's
+    lists, and the flat table keeps it once per code; association rows are
+    kept once per (item, importance, code).  Both parts never share a code,
+    so one distinct over (customer, item, type, importance) covers both.
     """
-    ar = keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", params).select(
-        F.col("custno").alias("CustNO"),
-        F.col("recomdlist").alias("item"),
-        F.col("discounttype").cast("string").alias("type"),
-        F.col("importance").alias("_imp"),
+    ar = (
+        keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", params)
+        .select(
+            F.col("custno").alias("CustNO"),
+            F.col("recomdlist").alias("item"),
+            F.col("discounttype").cast("string").alias("type"),
+            F.col("importance").alias("_imp"),
+        )
     )
-    # One entry per (customer, list) instead of one per wishlist row: rows
-    # sharing a category or parent code bring the same list.
-    summ = code_summaries(wset)
-    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
-    tp = (
-        keyed_join(summ, b, ["level", "key"], "inner", params)
-        .filter(~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist"))))
-    ).select(
+    tp = list_entries(code_summaries(wset), bind, params).select(
         F.col("custno").alias("CustNO"),
         F.col("recomdlist").alias("item"),
         F.col("discounttype").cast("string").alias("type"),
