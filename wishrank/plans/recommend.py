@@ -158,9 +158,10 @@ class Recommender:
         """Candidates cut to what each row's quota can still use (exact for
         every later stage), shuffled once by customer.
 
-        After the cut a customer has at most ``max_items`` rows with at most
-        ``budget`` association and ``2 * (budget + 1)`` best-seller entries
-        each, so even the largest customer fits one task; best-per-item,
+        After the cut a customer in bucket b has b rows with at most q
+        association and 3 * (q + 1) best-seller entries each (q = budget // b),
+        at most 175 for the default budget, so even the largest customer fits
+        one task; best-per-item,
         quota, merge and the final list all group by customer first and run
         on this partitioning without another shuffle.
         """
