@@ -64,6 +64,12 @@ def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame,
         F.col("discounttype").cast("string").alias("type"),
         F.lit(None).cast("string").alias("_imp"),
     )
+    # A best-seller value outside a customer's ``budget`` smallest has that
+    # many distinct rows ahead of it.  dense_rank keeps every copy of the
+    # values it keeps (copies come once per list holding the item, so they
+    # are few) and runs as a partial top-k before the shuffle.
+    w = Window.partitionBy("CustNO").orderBy("type", "item")
+    tp = tp.withColumn("_dr", F.dense_rank().over(w)).filter(F.col("_dr") <= params.budget).drop("_dr")
     return ar.unionByName(tp).distinct()
 
 
