@@ -1,8 +1,8 @@
 """End-to-end plans: quota lists (E1), flat lists (E2), filled wishlist.
 
 ``Recommender`` holds one run's inputs and parameters and exposes every stage
-as a lazily built DataFrame.  Shared stages (popularity weights, the filled
-wishlist, per-goods association lists, best-sellers, indexed rows) are
+as a lazily built DataFrame.  Shared stages (the filled wishlist set,
+per-goods association lists, best-seller lists) are
 materialised once through the ``Stager``; everything else is a plain lazy plan
 for Catalyst.
 
@@ -73,8 +73,10 @@ class Recommender:
 
     @cached_property
     def weighted(self) -> DataFrame:
+        # One aggregate and one join over the inputs: cheaper to recompute in
+        # the (staged) best-seller and association phases than to write.
         i = self.inputs
-        return self.stage(promo.weighted_popularity(i.popularity, i.promotion, self.params), "weighted")
+        return promo.weighted_popularity(i.popularity, i.promotion, self.params)
 
     @cached_property
     def flags(self) -> DataFrame:
