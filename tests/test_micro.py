@@ -112,3 +112,29 @@ def test_write_results(spark, tmp_path):
     assert set(out) == {"flat_candidates", "flat_topk", "flat_result", "final_lists"}
     back = {r.custno: (r.recomdcount, r.recomdlist) for r in spark.read.parquet(out["final_lists"]).collect()}
     assert back == FINAL_B
+
+
+def test_promotion_copies_use_up_bestseller_slots(spark):
+    # Trap T2: 40 promoted goods in one category; P0 is listed twice on promotion,
+    # so its two copies take ranks 1 and 2 and the 40th goods no longer fits.
+    from wishrank.operators import candidates
+
+    pop = [(100 - i, f"P{i}", "C", "X") for i in range(40)]
+    promo = [(f"P{i}",) for i in range(40)] + [("P0",)]
+    inputs = micro_inputs(spark, wishlist=[("U", "P0", "C")], popularity=pop, promotion=promo,
+                          order_assoc=[], rule_log=[])
+    rec = Recommender(spark, inputs, Params(materialize=False))
+    best = candidates.bestsellers(rec.weighted, rec.wishlist_set, candidates.CAT, rec.params)
+    items = {r.recomdlist for r in best.collect()}
+    assert {r.discounttype for r in best.collect()} == {7}
+    assert items == {f"P{i}" for i in range(39)}
+
+
+def test_null_category_sorts_first_in_index(spark):
+    # Trap T12: NULLs first when numbering a customer's rows.  G9 never sold:
+    # left mode keeps (G9, C9, NULL parent) and (G9, NULL, NULL); with equal
+    # goods the NULL category must come first.
+    wish = [("U", "G9", "C9"), ("U", "G9", None)]
+    rec = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False))
+    idx = sorted((r.goodindex, r.catecode, r.bucket) for r in rec.indexed.collect())
+    assert idx == [(1, None, 2), (2, "C9", 2)]

@@ -133,7 +133,7 @@ def assoc_flat_top(assoc: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _level_keys(filled: DataFrame, level: str) -> DataFrame:
+def _present_codes(filled: DataFrame, level: str) -> DataFrame:
     col = "catecode" if level == CAT else "p2code"
     return filled.select(F.col(col).alias("key")).filter(F.col("key").isNotNull()).distinct()
 
@@ -153,7 +153,7 @@ def bestsellers(weighted: DataFrame, filled: DataFrame, level: str, params: Para
     key, other = ("catecode", "p2code") if level == CAT else ("p2code", "catecode")
     base = SAME_CATEGORY if level == CAT else PARENT_CATEGORY
     rows = weighted.join(
-        _level_keys(filled, level).withColumnRenamed("key", key), key, "left_semi"
+        _present_codes(filled, level).withColumnRenamed("key", key), key, "left_semi"
     )
     w = Window.partitionBy(key, "promotype").orderBy(
         F.col("count").desc(), F.col("goodscode"), F.col(other)
