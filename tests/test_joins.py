@@ -48,3 +48,12 @@ def test_split_plan_has_no_broadcast_of_right(spark, sides):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # Only the small hot-key table may be broadcast, never the right side itself.
     assert "rv" not in "".join(line for line in plan.splitlines() if "BroadcastExchange" in line)
+
+
+def test_broadcast_limit_bounds_bytes(spark):
+    from wishrank.functions.joins import broadcast_row_limit, row_width
+
+    df = spark.createDataFrame([("a", "b", 1)], "x string, y string, n int")
+    assert row_width(df) == 8 + 40 + 40 + 8
+    assert broadcast_row_limit(df, Params(broadcast_rows=1000, broadcast_bytes=960)) == 10
+    assert broadcast_row_limit(df, Params(broadcast_rows=5, broadcast_bytes=10**9)) == 5

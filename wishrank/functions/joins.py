@@ -4,7 +4,8 @@ Two shapes occur in the pipeline:
 
 * a large fact side joined to a per-key side that is usually small (a category
   map, one row per goods, a best-seller list).  The small side is broadcast
-  only after its row count has been checked against ``Params.broadcast_rows``;
+  only after its row count has been checked against ``Params.broadcast_rows``
+  and, through a schema-based row width, ``Params.broadcast_bytes``;
   beyond that bound the join falls back to a shuffle join whose hot keys are
   split (below).
 * two large sides joined on a key that may be hot on either side.
@@ -25,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..params import Params
 
@@ -32,6 +34,23 @@ _LP, _RP = "_wr_lpieces", "_wr_rpieces"
 _LI, _RJ = "_wr_li", "_wr_rj"
 
 
+# Width assumed per string value: codes are at most 30 characters (CHAR(30)),
+# plus length and offset overhead.
+_STRING_WIDTH = 40
+
+
+def row_width(df: DataFrame) -> int:
+    """Upper estimate of one row's size in bytes from the schema."""
+    width = 8
+    for f in df.schema.fields:
+        width += _STRING_WIDTH if isinstance(f.dataType, T.StringType) else 8
+    return width
+
+
+def broadcast_row_limit(df: DataFrame, params: Params) -> int:
+    return max(0, min(params.broadcast_rows, params.broadcast_bytes // row_width(df)))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
@@ -72,7 +91,7 @@ def keyed_join(
         raise ValueError(f"unsupported join type {how!r}")
     # The checked sides in the pipeline are written stages or short plans over
     # them, so checking and then joining computes them twice at low cost.
-    small = fits_broadcast(right, p.broadcast_rows) if right_small is None else right_small
+    small = fits_broadcast(right, broadcast_row_limit(right, p)) if right_small is None else right_small
     if small:
         return left.join(F.broadcast(right), on, how)
 

@@ -22,8 +22,10 @@ class Params:
     # Non-parity option: buckets 2-5 also look up parent-category best-sellers
     # through each row's own parent code, as bucket 1 does.
     parent_backfill: bool = False
-    # Broadcast a dimension-like side only when its row count is at most this.
+    # Broadcast a dimension-like side only when its row count is at most this
+    # and its estimated size (rows x schema width) at most broadcast_bytes.
     broadcast_rows: int = 2_000_000
+    broadcast_bytes: int = 128 * 1024 * 1024
     # A join key holding more rows than this on one side is split across tasks.
     hot_key_rows: int = 5_000_000
     # Number of pieces a hot key is split into (per side).
