@@ -50,3 +50,24 @@ def test_coverage_checks(rec):
     assert checks["duplicate_candidate_rows"] == 0
     assert checks["lists_over_budget"] == 0
     assert checks["listed_customers"] + checks["customers_without_list"] == checks["filled_customers"]
+
+
+def test_left_fill_keeps_rows_and_customers(rec):
+    # Here every category has one parent code, so the left-mode fill keeps every
+    # distinct wishlist row, and every wishlist customer stays.
+    wd = rec.wishlist_distinct()
+    filled = rec.filled_wishlist()
+    assert filled.count() == wd.count()
+    assert filled.select("custno").distinct().count() == wd.select("cust_no").distinct().count()
+    per_cat = rec.category_parent_map().groupBy("category_code").count()
+    assert per_cat.filter("count > 1").count() == 0
+
+
+def test_association_and_bestseller_codes_disjoint(rec):
+    # Association and best-seller candidates never share a code, so their union
+    # never overlaps.  Importance cannot tell the sources
+    # apart: a rule-log importance may itself be '0'.
+    assoc = {r[0] for r in rec.assoc.select("discounttype").distinct().collect()}
+    best = {r[0] for r in rec.binding.select("discounttype").distinct().collect()}
+    assert assoc <= {1, 2, 5, 6} and best <= {3, 4, 7, 8}
+    assert "0" in {r[0] for r in rec.assoc.select("importance").distinct().collect()}
