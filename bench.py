@@ -55,6 +55,7 @@ def main() -> None:
         fn(rec).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
         print(f"{name}: {times[name]} s", file=sys.stderr)
+    Recommender(spark, inputs, Params()).release()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "total_query_time",

@@ -138,3 +138,14 @@ def test_null_category_sorts_first_in_index(spark):
     rec = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False))
     idx = sorted((r.goodindex, r.catecode, r.bucket) for r in rec.indexed.collect())
     assert idx == [(1, None, 2), (2, "C9", 2)]
+
+
+def test_release_unpersists_inputs(spark):
+    from pyspark import StorageLevel
+
+    inputs = micro_inputs(spark)
+    kept = type(inputs)(*(df.persist(StorageLevel.MEMORY_AND_DISK) for df in inputs.__dict__.values()))
+    rec = Recommender(spark, kept, Params(materialize=False))
+    assert _final(rec) == FINAL_B
+    rec.release()
+    assert all(not df.is_cached for df in kept.__dict__.values())

@@ -61,6 +61,13 @@ class Recommender:
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Recommender":
         return cls(spark, cls.derived_inputs(spark, sf_dir, params), params)
 
+    def release(self) -> None:
+        """Drop this run's kept inputs from the session cache (a no-op for
+        inputs that were never persisted).  Written stages stay in place."""
+        for df in (self.raw.wishlist, self.raw.popularity, self.raw.promotion,
+                   self.raw.order_assoc, self.raw.rule_log):
+            df.unpersist()
+
     # ---------------------------------------------------------------- inputs
     @cached_property
     def inputs(self) -> Inputs:
