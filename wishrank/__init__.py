@@ -3,5 +3,6 @@
 from .params import DEFAULT, Params
 from .plans.recommend import Recommender
 from .sources.inputs import Inputs, catalog_inputs, derive_inputs
+from .sources.sinks import write_results
 
-__all__ = ["DEFAULT", "Params", "Recommender", "Inputs", "catalog_inputs", "derive_inputs"]
+__all__ = ["DEFAULT", "Params", "Recommender", "Inputs", "catalog_inputs", "derive_inputs", "write_results"]
