@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing
+from . import packing, piece_codec, token_counts
 from .common import table, tokenizer_path
 
+PIECE_MODEL = "piece_bpe_32k.model"
 BPE_RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
 
 
@@ -16,8 +18,27 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
+
+
+def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path(PIECE_MODEL)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = piece_codec.decode(piece_codec.encode(docs, model), model)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("covered_bytes"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op7_token_counts": op7_token_counts,
+    "op8_piece_codec": op8_piece_codec,
 }
 
 ORACLES: dict[str, str] = {}
