@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, piece_codec, token_counts
+from . import packing, piece_codec, sharding, token_counts
 from .common import table, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,6 +18,20 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("row.text")
+    return sharding.shuffle_into_shards(docs).select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
 
@@ -37,6 +51,7 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_sharding": op4_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
 }
