@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, piece_codec, sharding, token_counts
+from . import license_scan, packing, piece_codec, sharding, token_counts
 from .common import table, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -32,6 +32,20 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = F.col("places")
+    return license_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size(places).cast("long").alias("n_base"),
+        F.array_min(places["first"]).alias("first_word"),
+        F.array_max(places["first"]).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(places["label"])), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
 
@@ -52,6 +66,7 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_sharding": op4_sharding,
+    "op5_license_scan": op5_license_scan,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
 }
