@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, packing, piece_codec, sharding, token_counts
+from . import license_scan, packing, piece_codec, sharding, token_counts, toxicity
 from .common import table, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -63,12 +63,17 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
