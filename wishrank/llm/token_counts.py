@@ -5,10 +5,11 @@ has the same number of pieces wherever it stands.  Pieces are counted once per
 distinct pre-token of the whole corpus, and a document's count is the sum over its
 pre-token frequencies.
 
-The pre-token here is a space-led chunk: texts are cut in front of every single
-space that a non-space follows.  The tokenizer's own pattern always starts a
-pre-token there, so its pieces do not cross that cut either, and cutting needs no
-regular expression.  Texts with other space runs are cut by the pattern itself.
+The pre-token here is a space-led word.  Where every white space is a single space or
+line end between two words, the tokenizer's own pattern starts a pre-token at each of
+them, after each line end, and between a letter and a closing full stop or comma.  Its
+pieces do not cross those cuts, and cutting there needs no regular expression.  Texts
+with other white space are cut by the pattern itself.
 
 Steps, each over all rows:
 
@@ -51,13 +52,21 @@ def chunks(text: str, pattern) -> list[str]:
     """Pre-tokens of a text without special strings; their concatenation is the text."""
     if not text:
         return []
-    words = text.split(" ")
-    tail = words[1:]
-    if "" in tail or any(map(str.isspace, (w[0] for w in tail))):
-        return pattern.findall(text)
-    out = [" " + w for w in tail]
-    if words[0]:
-        out.append(words[0])
+    if text.replace("\n", " ").split(" ") != text.split():
+        return pattern.findall(text)  # runs of white space, or white space at an end
+    out: list[str] = []
+    lead = ""
+    for line in text.split("\n"):
+        if lead:
+            out.append("\n")
+            lead = ""
+        for word in line.split(" "):
+            if word[-1] in ".," and word[:-1][-1:].isalpha():
+                out.append(lead + word[:-1])
+                out.append(word[-1])
+            else:
+                out.append(lead + word)
+            lead = " "
     return out
 
 
