@@ -12,7 +12,9 @@ name and is loaded once per task.
 
 from __future__ import annotations
 
+import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,10 @@ from pyspark.sql import functions as F
 
 #: The mark that stands for a space in pieces.
 MARK = "▁".encode()
+#: Distinct words whose ids a task keeps.
+WORDS = 400_000
+#: A text that words alone do not make up: space runs, spaces or line ends at the start, literal marks.
+_ODD = re.compile("^[ \\n]| $|  | \\n|\\n |▁").search
 
 
 class CharacterMap:
@@ -76,8 +82,41 @@ class Codec:
         # Bytes of the normalised text that a piece covers; a byte piece covers one,
         # an unknown piece (0 here) what the others leave.
         byte, unknown = proto.SentencePiece.BYTE, proto.SentencePiece.UNKNOWN
+        # No piece holds a line end or a mark behind another character, so no merge
+        # crosses the place before a single space or a line end.
+        pieces = [p.piece for p in proto.pieces]
+        self.by_word = spec.add_dummy_prefix and not self.map.units and not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
+        self.words: dict[str, bytes] = {}
         self.width = np.array([1 if p.type == byte else 0 if p.type == unknown else len(p.piece.encode()) for p in proto.pieces], dtype=np.int64)
 
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The library's ids of every text.
+
+        Texts with single spaces are put together from the ids of their words, which
+        the library encodes once per distinct word; others it encodes whole.
+        """
+        cut: list[list[str] | None] = []
+        for text in texts:
+            if not self.by_word or not text or _ODD(text):
+                cut.append(None)
+                continue
+            first, *lines = text.split("\n")
+            keys = first.split(" ")
+            for line in lines:
+                keys += ("\n" + line).split(" ")
+            cut.append(keys)
+        if len(self.words) > WORDS:
+            self.words.clear()
+        new = list({k for keys in cut if keys for k in keys}.difference(self.words))
+        for key, ids in zip(new, self.lib.encode(new, num_threads=1)):
+            # In front of a line end the library's dummy prefix is a piece of its own.
+            self.words[key] = array("i", ids[1:] if key[0] == "\n" else ids).tobytes()
+        get = self.words.__getitem__
+        return [
+            np.frombuffer(b"".join(map(get, keys)), dtype=np.int32) if keys else np.asarray(self.lib.encode(t), dtype=np.int32)
+            for t, keys in zip(texts, cut)
+        ]
+
     def normalise(self, text: str) -> tuple[int, np.ndarray]:
         """Length in bytes of the normalised text, and per byte of it (and its end)
         the offset of the original byte it came from."""
@@ -102,14 +141,14 @@ class Codec:
             aligned = np.concatenate([np.zeros(len(MARK), dtype=np.int64), aligned])
         return len(aligned), np.append(aligned, len(raw))
 
-    def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last (exclusive) original byte of every piece.
 
         A piece that covers only the dummy prefix has an empty span, and the pieces
         of one character (byte pieces) start at bytes of that character.
         """
         n, aligned = self.normalise(text)
-        width = self.width[np.asarray(ids, dtype=np.int64)]
+        width = self.width[ids]
         if (unknown := np.flatnonzero(width == 0)).size:
             if unknown.size > 1:  # the library's own pieces say how long each is
                 pieces = self.lib.encode(text, out_type=str)
@@ -141,10 +180,10 @@ def encode(df: DataFrame, model_file: str, text: str = "text", batch_texts: int
             for at in range(0, big.num_rows, batch_texts):
                 batch = big.slice(at, batch_texts)
                 texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-                ids = codec.lib.encode(texts, num_threads=1)
+                ids = codec.encode(texts)
                 spans = [codec.spans(t, i) for t, i in zip(texts, ids)]
                 stops = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = [np.concatenate([np.asarray(x, dtype=np.int32) for x in xs] or [np.zeros(0, dtype=np.int32)]) for xs in (ids, [s[0] for s in spans], [s[1] for s in spans])]
+                flat = [np.concatenate(xs).astype(np.int32, copy=False) for xs in (ids, [s[0] for s in spans], [s[1] for s in spans])]
                 arrays = [pa.ListArray.from_arrays(pa.array(stops), pa.array(x, type=pa.int32())) for x in flat]
                 yield pa.record_batch([*batch.columns[:-1], *arrays], names=[*keep, "ids", "begins", "ends"])
 
@@ -162,8 +201,8 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", batch_texts: int =
         for big in batches:
             for at in range(0, big.num_rows, batch_texts):
                 batch = big.slice(at, batch_texts)
-                rows = batch.column(names.index(ids)).to_pylist()
-                texts = [codec.lib.decode(r) if r else "" for r in rows]
+                rows = batch.column(names.index(ids))
+                texts = [codec.lib.decode(r.values.to_numpy().tolist()) if r.is_valid and len(r) else "" for r in rows]
                 yield pa.record_batch([*batch.columns, pa.array(texts, type=pa.string())], names=[*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in names)
