@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, packing, piece_codec, sharding, token_counts, toxicity
+from . import license_scan, minhash, packing, piece_codec, sharding, token_counts, toxicity
 from .common import table, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -18,6 +18,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    doc_id = F.col("row.doc_id").cast("long")
+    return minhash.group_documents(docs).select(
+        doc_id.alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        doc_id.eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.col("row.text")
@@ -69,6 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_minhash": op2_minhash,
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
     "op7_token_counts": op7_token_counts,
