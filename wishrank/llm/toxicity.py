@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,7 +136,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(sets, type=pa.list_(pa.int32()))], names=["doc_id", "y", "at"])
 
     shard = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)).cast("int").alias("shard")
-    rows = scratch.write(known.mapInArrow(features, "doc_id long, y int, at array<int>").select(shard, "doc_id", "y", "at"), "features")
+    # Dealt out once and kept for all rounds (max_rows rows at most); what an executor
+    # held is computed again from the documents when it is lost.
+    rows = known.mapInArrow(features, "doc_id long, y int, at array<int>").select(shard, "doc_id", "y", "at")
+    rows = rows.repartition(shards, "shard").persist(StorageLevel.MEMORY_AND_DISK)
 
     z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
     for _ in range(s.rounds):
@@ -163,6 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
             times[at] += 1
         z += sum_z / np.maximum(times, 1)
         n += sum_n / np.maximum(times, 1)
+    rows.unpersist()
     return finish(z, n, s)
 
 
