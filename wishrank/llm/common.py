@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.stages import checkpoint_root
 
@@ -35,9 +36,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(col: Column) -> Column:
-    """Lower-case A-Z only (``lower`` would also fold letters beyond ASCII)."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def tokenizer_path(name: str) -> str:

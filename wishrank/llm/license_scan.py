@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 # The base phrases and their labels.
 BASE = {
     "gnu general public license": "gpl",
@@ -165,7 +167,7 @@ def word_idf(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, seen = 0, dict.fromkeys(vocabulary, 0)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 n += 1
                 for w in vocabulary.intersection(words(text)):
@@ -196,7 +198,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, tuple[
     names = ["doc_id", "n_words", "places", "labels", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 file = words(text)

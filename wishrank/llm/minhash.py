@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, slices
 from .components import components
 
 ROWS, BANDS = 4, 32
@@ -100,7 +100,7 @@ def sketch(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(HASHES)
-        for batch in batches:
+        for batch in slices(batches):
             n, digest, sig = [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, width)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import Scratch
+from .common import Scratch, slices
 
 #: Pieces numbered together in one window group, on average.
 BUCKET_ROWS = 50_000
@@ -110,7 +110,7 @@ def tokenize_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = bpe.load(rank_file)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = bpe.encode(enc, text or "")

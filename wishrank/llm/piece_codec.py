@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: The mark that stands for a space in pieces.
 MARK = "▁".encode()
 #: Distinct words whose ids a task keeps.
@@ -176,16 +178,14 @@ def encode(df: DataFrame, model_file: str, text: str = "text", batch_texts: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model_file)
-        for big in batches:
-            for at in range(0, big.num_rows, batch_texts):
-                batch = big.slice(at, batch_texts)
-                texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-                ids = codec.encode(texts)
-                spans = [codec.spans(t, i) for t, i in zip(texts, ids)]
-                stops = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = [np.concatenate(xs).astype(np.int32, copy=False) for xs in (ids, [s[0] for s in spans], [s[1] for s in spans])]
-                arrays = [pa.ListArray.from_arrays(pa.array(stops), pa.array(x, type=pa.int32())) for x in flat]
-                yield pa.record_batch([*batch.columns[:-1], *arrays], names=[*keep, "ids", "begins", "ends"])
+        for batch in slices(batches, batch_texts):
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            ids = codec.encode(texts)
+            spans = [codec.spans(t, i) for t, i in zip(texts, ids)]
+            stops = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            flat = [np.concatenate(xs).astype(np.int32, copy=False) for xs in (ids, [s[0] for s in spans], [s[1] for s in spans])]
+            arrays = [pa.ListArray.from_arrays(pa.array(stops), pa.array(x, type=pa.int32())) for x in flat]
+            yield pa.record_batch([*batch.columns[:-1], *arrays], names=[*keep, "ids", "begins", "ends"])
 
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = "".join(f"`{c}` {fields[c]}, " for c in keep) + "ids array<int>, begins array<int>, ends array<int>"
@@ -198,12 +198,10 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", batch_texts: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model_file)
-        for big in batches:
-            for at in range(0, big.num_rows, batch_texts):
-                batch = big.slice(at, batch_texts)
-                rows = batch.column(names.index(ids))
-                texts = [codec.lib.decode(r.values.to_numpy().tolist()) if r.is_valid and len(r) else "" for r in rows]
-                yield pa.record_batch([*batch.columns, pa.array(texts, type=pa.string())], names=[*names, "decoded"])
+        for batch in slices(batches, batch_texts):
+            rows = batch.column(names.index(ids))
+            texts = [codec.lib.decode(r.values.to_numpy().tolist()) if r.is_valid and len(r) else "" for r in rows]
+            yield pa.record_batch([*batch.columns, pa.array(texts, type=pa.string())], names=[*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in names)
     return df.select(*names).mapInArrow(run, schema + ", decoded string")

@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import Scratch
+from .common import Scratch, slices
 
 #: Chunks that are broadcast with their counts (about 30 MB in a worker).
 FREQUENT = 200_000
 #: Distinct chunks that a task adds up before it hands them on.
-FLUSH = 400_000
+FLUSH = 200_000
 
 
 def _pattern():
@@ -100,7 +100,7 @@ def count_tokens(
             seen.clear()
             return batch
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 for part in (text or "").split(bpe.SPECIAL):
                     seen.update(chunks(part, pattern))
@@ -129,7 +129,7 @@ def count_tokens(
     def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern, top = _pattern(), shared.value
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 text = text or ""

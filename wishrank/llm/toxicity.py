@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, slices
 
 # ASCII punctuation and control bytes to spaces; bytes of longer characters stay.
 _SPLIT = bytes(b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256))
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
     known = texts.join(F.broadcast(drawn), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [np.unique(coordinates(t, s.bits)).astype(np.int32) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(sets, type=pa.list_(pa.int32()))], names=["doc_id", "y", "at"])
 
@@ -183,7 +183,7 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, keep: tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         table = model.table()
-        for batch in batches:
+        for batch in slices(batches):
             sums = np.empty(batch.num_rows)
             for k, text in enumerate(batch.column(len(keep)).to_pylist()):
                 at = coordinates(text, model.bits)
