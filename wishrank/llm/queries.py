@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, minhash, packing, piece_codec, sharding, token_counts, toxicity
+from . import license_scan, line_dedup, minhash, packing, piece_codec, sharding, token_counts, toxicity
 from .common import table, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -57,6 +57,18 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return line_dedup.dedup_lines(docs).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"),
+        "n_lines",
+        "n_deleted",
+        F.octet_length(text).cast("long").alias("kept_bytes"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BPE_RANKS))
 
@@ -83,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
     "op10_toxicity": op10_toxicity,
