@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, line_dedup, minhash, packing, piece_codec, sharding, token_counts, toxicity
+from . import ann, embed_dedup, license_scan, line_dedup, minhash, packing, piece_codec, sharding, token_counts, toxicity
 from .common import table, tokenizer_path
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -29,6 +29,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = embed_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+    return links.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.col("row.text")
@@ -86,6 +91,10 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -93,11 +102,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_minhash": op2_minhash,
+    "op3_embed_dedup": op3_embed_dedup,
     "op4_sharding": op4_sharding,
     "op5_license_scan": op5_license_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
+    "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
 }
 
