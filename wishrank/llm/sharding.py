@@ -26,6 +26,8 @@ from .common import Scratch
 
 #: Buckets whose sizes are summed in one window group.
 GROUP = 1_000
+#: Bucket starts that are broadcast.
+BROADCAST_BUCKETS = 1_000_000
 
 
 def bucket_count(df: DataFrame, bucket_bytes: int, text: str) -> int:
@@ -79,14 +81,17 @@ def shuffle_into_shards(
     no rows; the columns of ``df`` stay inside ``row``, so no name can clash.
     """
     scratch = scratch or Scratch(df.sparkSession, "sharding")
-    shuffled = external_shuffle(df, seed, bucket_count(df, bucket_bytes, text), scratch)
+    buckets = bucket_count(df, bucket_bytes, text)
+    shuffled = external_shuffle(df, seed, buckets, scratch)
     starts, total = bucket_starts(shuffled)
     least, more = divmod(total, shards)  # the first `more` shards have one row extra
     place, head = F.col("start") + F.col("at"), more * (least + 1)
     shard = F.when(place < head, F.floor(place / (least + 1))).otherwise(more + F.floor((place - head) / max(least, 1)))
     first = F.when(F.col("shard") < more, F.col("shard") * (least + 1)).otherwise(head + (F.col("shard") - more) * least)
-    # One long and one position per bucket of `bucket_bytes`: 16 bytes for 16 MB of
-    # input, so the starts of 100 TB are 100 MB; AQE broadcasts them when they are small.
+    # The number of buckets is known: up to a million starts (16 MB) are broadcast, so
+    # the texts are not shuffled again; beyond it, they are joined.
+    if buckets <= BROADCAST_BUCKETS:
+        starts = F.broadcast(starts)
     return (
         shuffled.join(starts, "bucket")
         .select("row", place.alias("place"), shard.cast("int").alias("shard"))
