@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bpe
 from .common import Scratch, slices
@@ -164,8 +165,8 @@ def assign_sequences(pieces: DataFrame, max_len: int = 2048, scratch: Scratch |
             columns = [*batch.columns[:-1], pa.array(sequence), pa.array(offset)]
             yield pa.record_batch(columns, names=[*own, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")
+    schema = T.StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
+    return ranked.mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, rank_file: str, max_len: int = 2048, end_id: int = 1, keep_ids: bool = False) -> DataFrame:

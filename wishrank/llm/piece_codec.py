@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices
 
@@ -187,9 +188,10 @@ def encode(df: DataFrame, model_file: str, text: str = "text", batch_texts: int
             arrays = [pa.ListArray.from_arrays(pa.array(stops), pa.array(x, type=pa.int32())) for x in flat]
             yield pa.record_batch([*batch.columns[:-1], *arrays], names=[*keep, "ids", "begins", "ends"])
 
-    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = "".join(f"`{c}` {fields[c]}, " for c in keep) + "ids array<int>, begins array<int>, ends array<int>"
-    return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    schema = T.StructType([f for f in df.schema.fields if f.name in keep])
+    for c in ("ids", "begins", "ends"):
+        schema = schema.add(c, T.ArrayType(T.IntegerType()))
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, model_file: str, ids: str = "ids", batch_texts: int = 256) -> DataFrame:
@@ -203,5 +205,5 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", batch_texts: int =
             texts = [codec.lib.decode(r.values.to_numpy().tolist()) if r.is_valid and len(r) else "" for r in rows]
             yield pa.record_batch([*batch.columns, pa.array(texts, type=pa.string())], names=[*names, "decoded"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in names)
-    return df.select(*names).mapInArrow(run, schema + ", decoded string")
+    schema = T.StructType([f for f in df.schema.fields if f.name in names]).add("decoded", "string")
+    return df.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)

@@ -22,9 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch, slices
 
@@ -160,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
             return pd.DataFrame({"at": [moved.astype(np.int64)], "z": [(z - before_z)[moved]], "n": [(n - before_n)[moved]]})
 
         sum_z, sum_n, times = np.zeros(len(z)), np.zeros(len(n)), np.zeros(len(n))
-        for r in rows.groupBy("shard").applyInPandas(one, "at array<long>, z array<double>, n array<double>").toLocalIterator():
+        # max_rows / shard_rows rows of at most 2^bits coordinates each.
+        for r in rows.groupBy("shard").applyInPandas(one, "at array<long>, z array<double>, n array<double>").collect():
             at = np.asarray(r["at"], dtype=np.int64)
             sum_z[at] += r["z"]
             sum_n[at] += r["n"]
@@ -171,13 +174,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
     return finish(z, n, s)
 
 
-def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of ``docs`` with score (0 to 1) and predicted (score >= threshold).
+def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` (struct column ``row``) with score (0 to 1) and predicted (score >= threshold).
 
-    Only the text is scored.  Null and empty texts score as the model's bias does;
-    every row gives a row.
+    Only the text is scored.  Null and empty texts score as the model's bias does; every
+    row gives a row.  The columns of ``docs`` stay inside ``row``, so no name can clash.
     """
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,24 +188,25 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, keep: tuple
         table = model.table()
         for batch in slices(batches):
             sums = np.empty(batch.num_rows)
-            for k, text in enumerate(batch.column(len(keep)).to_pylist()):
-                at = coordinates(text, model.bits)
+            for k, body in enumerate(pa.compute.struct_field(batch.column(0), text).to_pylist()):
+                at = coordinates(body, model.bits)
                 sums[k] = table[np.unique(at[table[at] != 0])].sum(dtype=np.float64)
             p = 1.0 / (1.0 + np.exp(-np.clip(sums + model.bias, -30, 30)))
-            columns = [*batch.columns[: len(keep)], pa.array(p), pa.array((p >= threshold).astype(np.int32))]
-            yield pa.record_batch(columns, names=[*keep, "score", "predicted"])
+            yield pa.record_batch([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["row", "score", "predicted"])
 
-    schema = "".join(f"`{c}` {types[c]}, " for c in keep) + "score double, predicted int"
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    schema = T.StructType([*rows.schema.fields]).add("score", "double").add("predicted", T.IntegerType())
+    return rows.mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted (score >= 0.3)."""
-    scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fit(docs, labels, settings=settings))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    doc_id = F.col("row.doc_id")
+    return score(own, fit(docs, labels, settings=settings)).select(
+        doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "score", "predicted"
+    )
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the rows that the model rejects (score >= 0.3)."""
-    scored = score(docs, fit(docs, labels, settings=settings), keep=tuple(docs.columns))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    return score(docs, fit(docs, labels, settings=settings)).filter("predicted = 0").select("row.*")
