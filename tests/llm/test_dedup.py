@@ -1,0 +1,197 @@
+"""MinHash groups, line dedup and components against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from wishrank.llm import line_dedup, minhash
+from wishrank.llm.common import Scratch
+from wishrank.llm.components import components
+
+from .data import corpus, documents, docs, no_docs, words  # noqa: F401
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingle_set(text: str | None, width: int = 5) -> frozenset:
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(w) < width:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1))
+
+
+def roots(n: int, links) -> list[int]:
+    up = list(range(n))
+
+    def find(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return [find(k) for k in range(n)]
+
+
+def brute_groups(rows) -> Counter:
+    """(doc_id, set size, component_id) of every row."""
+    sets = [shingle_set(t) for _, t in rows]
+    links = [
+        (a, b) for a in range(len(rows)) for b in range(a)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    group = defaultdict(list)
+    root = roots(len(rows), links)
+    for k, r in enumerate(root):
+        if rows[k][0] is not None:
+            group[r].append(rows[k][0])
+    return Counter((i, len(s), min(group[r], default=None)) for (i, _), s, r in zip(rows, sets, root))
+
+
+def check_groups(spark, rows):
+    got = minhash.group_documents(documents(spark, rows)).collect()
+    assert Counter((r.row.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows)
+    return got
+
+
+def test_minhash_groups(spark, docs):
+    rows = corpus()
+    got = check_groups(spark, rows)
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    sizes = Counter(r.keep_rid for r in got)
+    assert kept.count() == len(sizes) and sum(sizes.values()) == len(rows)
+
+
+def test_minhash_nothing(no_docs):
+    assert minhash.group_documents(no_docs).collect() == []
+    assert minhash.drop_near_duplicates(no_docs).collect() == []
+
+
+def test_minhash_near_the_threshold_and_chains(spark):
+    """Documents that drift apart step by step, and pairs around the threshold."""
+    rng = random.Random(11)
+    rows = []
+    text = words(rng, 200)
+    for k in range(40):  # each step near the last, far from the first
+        rows.append((k, " ".join(text)))
+        for _ in range(3):
+            text[rng.randrange(200)] = f"new{k}{rng.random()}"
+    base = words(rng, 120)
+    for k in range(60):  # around the threshold of one another
+        near = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            near[rng.randrange(120)] = f"other{rng.random()}"
+        rows.append((500 + k, " ".join(near)))
+    rng.shuffle(rows)
+    check_groups(spark, rows)
+
+
+def test_residue_meets_every_pair_across_components(spark, monkeypatch):
+    """Nodes of one bucket in different components meet, over several blocks, once each."""
+    monkeypatch.setattr(minhash, "RESIDUE_BLOCK", 2)
+    family = minhash.hash_family(minhash.HASHES)
+    sig = bytearray(minhash.signature(minhash.shingles(" ".join(words(random.Random(1), 50))), family).tobytes())
+    nodes = spark.createDataFrame([(k, sig) for k in range(9)], "node long, sig binary")
+    multi = spark.createDataFrame([(7, k) for k in range(9)], "key long, node long")
+    labels = spark.createDataFrame([(k, 0 if k < 5 else 5 if k < 7 else k) for k in range(9)], "node long, component long")
+    got = Counter((r.a, r.b) for r in minhash._residue(multi, labels, nodes).collect())
+    of = {r.node: r.component for r in labels.collect()}
+    assert got == Counter((a, b) for a in range(9) for b in range(a) if of[a] != of[b])
+
+
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_minhash_without_broadcast(spark, monkeypatch, bound):
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", bound)
+    check_groups(spark, corpus(seed=9, n=25))
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    edges += [(k + 1000, k + 1001) for k in range(50)] + [(2000, 2000 + k) for k in range(80)] + [(5, 5)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.component for r in components(df, Scratch(spark, "test")).collect()}
+    proper = [(a, b) for a, b in edges if a != b]
+    root = roots(3000, proper)
+    assert got == {k: root[k] for e in proper for k in e}
+    assert components(df.limit(0), Scratch(spark, "test")).collect() == []
+
+
+def brute_lines(rows, min_words):
+    """Deleted line numbers per row, by the definition in the module's docstring."""
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    seq = {k: [(j, line, len(line.split())) for j, line in enumerate((rows[k][1] or "").split("\n")) if line.strip()] for k in order}
+    first, window = {}, {}
+    for k in order:
+        for j in range(len(seq[k])):
+            total = n = 0
+            while j + n < len(seq[k]) and total < min_words:
+                total += seq[k][j + n][2]
+                n += 1
+            if total >= min_words:
+                key = tuple(x[1] for x in seq[k][j : j + n])
+                window[k, j] = key
+                first.setdefault(key, (k, j))
+    gone = {k: set() for k in order}
+    for (k, j), key in window.items():
+        q, i = first[key]
+        if (q, i) != (k, j):
+            n = 0
+            while j + n < len(seq[k]) and i + n < len(seq[q]) and seq[k][j + n][1] == seq[q][i + n][1]:
+                n += 1
+            gone[k] |= set(range(seq[k][j][0], seq[k][j + n - 1][0] + 1))
+    return gone
+
+
+def line_corpus(seed: int) -> list[tuple[int, str | None]]:
+    rng = random.Random(seed)
+    pool = [" ".join(words(rng, rng.randrange(1, 7))) for _ in range(25)]
+    rows = []
+    for k in range(40):
+        lines = [rng.choice(pool) if rng.random() < 0.7 else " ".join(words(rng, 4)) for _ in range(rng.randrange(0, 14))]
+        if rng.random() < 0.4:
+            lines.insert(rng.randrange(len(lines) + 1), "")
+        rows.append((k, "\n".join(lines)))
+    for k in range(8):
+        rows.append((100 + k, rows[k * 3][1]))
+    return rows + [(200, None), (201, ""), (202, "\n\n")]
+
+
+@pytest.mark.parametrize("seed,min_words", [(1, 10), (2, 5), (3, 16), (4, 1)])
+def test_line_dedup(spark, seed, min_words):
+    rows = line_corpus(seed)
+    gone = brute_lines(rows, min_words)
+    got = {r.row.doc_id: r for r in line_dedup.dedup_lines(documents(spark, rows), min_words=min_words).collect()}
+    assert len(got) == len(rows)
+    for k, (i, t) in enumerate(rows):
+        lines = [] if t is None else t.split("\n")
+        assert (got[i].n_lines, got[i].n_deleted) == (len(lines), len(gone[k])), i
+        assert got[i].text == (None if t is None else "\n".join(x for j, x in enumerate(lines) if j not in gone[k]))
+
+
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_line_dedup_of_awkward_rows(spark, docs, no_docs, monkeypatch, bound):
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", bound)
+    rows = corpus()
+    got = line_dedup.dedup_lines(docs).collect()
+    assert Counter((r.row.doc_id, r.row.text) for r in got) == Counter(rows)
+    # One copy of each repeated run of ten words or more stays in the corpus.
+    lines = Counter(x for r in got if r.text for x in r.text.split("\n") if len(x.split()) >= 10)
+    assert max(lines.values()) == 1
+    before = {x for _, t in rows if t for x in t.split("\n") if len(x.split()) >= 10}
+    assert set(lines) == before
+    kept = line_dedup.drop_repeated_lines(docs)
+    assert kept.columns == docs.columns
+    assert line_dedup.dedup_lines(no_docs).collect() == []
+
+
+def test_line_dedup_separator(spark):
+    rows = [(1, "a b c. d e f. x"), (2, "q. a b c. d e f. y")]
+    got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows), min_words=6, separator=". ").collect()}
+    assert got == {1: "a b c. d e f. x", 2: "q. y"}
