@@ -97,10 +97,11 @@ def test_residue_meets_every_pair_across_components(spark, monkeypatch):
     monkeypatch.setattr(minhash, "RESIDUE_BLOCK", 2)
     family = minhash.hash_family(minhash.HASHES)
     sig = bytearray(minhash.signature(minhash.shingles(" ".join(words(random.Random(1), 50))), family).tobytes())
-    nodes = spark.createDataFrame([(k, sig) for k in range(9)], "node long, sig binary")
+    nodes = spark.createDataFrame([(k, sig, 50) for k in range(9)], "node long, sig binary, n long")
     multi = spark.createDataFrame([(7, k) for k in range(9)], "key long, node long")
     labels = spark.createDataFrame([(k, 0 if k < 5 else 5 if k < 7 else k) for k in range(9)], "node long, component long")
-    got = Counter((r.a, r.b) for r in minhash._residue(multi, labels, nodes).collect())
+    mixed = minhash._mixed(multi, labels, Scratch(spark, "test"))
+    got = Counter((r.a, r.b) for r in minhash._residue(mixed, nodes, 75).collect())
     of = {r.node: r.component for r in labels.collect()}
     assert got == Counter((a, b) for a in range(9) for b in range(a) if of[a] != of[b])
 

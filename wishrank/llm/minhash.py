@@ -14,11 +14,14 @@ Steps, each over all rows:
    bucket of any size gives one pair per node.  Pairs whose signatures agree on too few
    places go; the others are verified on their full sets, in blocks per centre.
 4. Components of the links.
-5. What stars cannot see: in a bucket whose nodes are in different components, nodes
-   outside its largest component meet the others block by block on their signatures, and
-   the pairs that agree are verified as well.  No link between texts that share a bucket
-   is lost; a bucket within one component (the usual case, and the large one) costs nothing.
-6. Components again, and one row per document.
+5. Buckets with nodes of several components get stars round other, random centres, for
+   a few rounds; in a large group of copies that are not all similar to each other, these
+   join nearly everything with one pair per node and round.
+6. What stars cannot see: in a bucket that still has several components, nodes outside its
+   largest one meet the others block by block on their signatures, and the pairs that agree
+   are verified as well.  No link between texts that share a bucket is lost; a bucket
+   within one component (the usual case, and the large one) costs nothing.
+7. Components again, and one row per document.
 
 A pair at exactly 0.75 shares no bucket with probability (1 - 0.75^4)^32 = 5e-6, and a
 linked pair agrees on fewer places than step 3 asks with probability 1e-7.
@@ -46,6 +49,8 @@ AGREE = 0.55
 #: Nodes verified against one centre, or compared with each other, in one group.
 BLOCK = 64
 RESIDUE_BLOCK = 512
+#: Rounds of stars round random centres, at most.
+STAR_ROUNDS = 4
 #: Row numbers broadcast to pick out texts (8 bytes each); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -154,8 +159,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, pe
     return scratch.write(found.groupBy("b", "block").applyInPandas(compare, "u long, v long"), "links")
 
 
-def _residue(multi: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs across components within a bucket whose signatures agree, once each."""
+def _mixed(multi: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, node, component, major, most, all): buckets with nodes of several components."""
     placed = multi.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = (
@@ -163,29 +168,45 @@ def _residue(multi: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame
         .agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("all"))
         .filter("most < all")
     )
-    rows = placed.join(mixed, "key").join(nodes.select("node", "sig"), "node")
+    return scratch.write(placed.join(mixed, "key"), "mixed")
+
+
+def _stars(mixed: DataFrame, seed: int) -> DataFrame:
+    """Pairs of each node with a random centre of its bucket, if of another component."""
+    draw = F.xxhash64("key", "node", F.lit(seed))
+    centre = mixed.groupBy("key").agg(F.min(F.struct(draw.alias("draw"), "node", "component")).alias("c"))
+    met = mixed.join(centre, "key").filter(F.col("component") != F.col("c.component"))
+    return met.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
+
+
+def _residue(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components within a bucket whose signatures agree, once each."""
+    rows = mixed.join(nodes.select("node", "sig", "n"), "node")
     deal = lambda n: F.ceil(n / RESIDUE_BLOCK)
     minor, whole = deal(F.col("all") - F.col("most")), deal(F.col("all"))
     own = lambda n: F.pmod(F.xxhash64("node"), n)
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    columns = ["key", "node", "component", "sig", (F.col("component") != F.col("major")).alias("outside")]
+    columns = ["key", "node", "component", "sig", "n", (F.col("component") != F.col("major")).alias("outside")]
     left = rows.filter("component <> major").select(*columns, own(minor).alias("i"), each(whole).alias("j"), F.lit(True).alias("lhs"))
     right = rows.select(*columns, own(whole).alias("j"), each(minor).alias("i"), F.lit(False).alias("lhs"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf[pdf["lhs"]], pdf[~pdf["lhs"]]
-        sigs = np.frombuffer(b"".join(y["sig"]), dtype="<u2").reshape(-1, HASHES)
-        node, component, outside = y["node"].to_numpy(), y["component"].to_numpy(), y["outside"].to_numpy()
-        a, b = [], []
-        for n, c, s in zip(x["node"], x["component"], x["sig"]):
-            ok = (sigs == np.frombuffer(s, dtype="<u2")).mean(axis=1) >= AGREE
-            ok &= (component != c) & (~outside | (node > n))  # two outsiders meet twice
-            a.extend([n] * int(ok.sum()))
-            b.extend(node[ok].tolist())
-        return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+        sx, sy = (np.frombuffer(b"".join(p["sig"]), dtype="<u2").reshape(-1, HASHES).T.copy() for p in (x, y))
+        nx, ny = x["node"].to_numpy(), y["node"].to_numpy()
+        # Two outsiders meet twice; sets of too different sizes cannot be similar.
+        ok = x["component"].to_numpy()[:, None] != y["component"].to_numpy()
+        ok &= ~y["outside"].to_numpy() | (ny > nx[:, None])
+        few, many = x["n"].to_numpy()[:, None], y["n"].to_numpy()
+        ok &= 100 * np.minimum(few, many) >= percent * np.maximum(few, many)
+        agree = np.zeros(ok.shape, dtype=np.uint8)
+        for p in range(HASHES):
+            agree += sx[p][:, None] == sy[p]
+        i, j = np.nonzero(ok & (agree >= AGREE * HASHES))
+        return pd.DataFrame({"a": np.maximum(nx[i], ny[j]), "b": np.minimum(nx[i], ny[j])})
 
     met = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return met.distinct()
 
 
 def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
@@ -206,9 +227,9 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
     order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), F.col("rid").alias("rid"))
     ids = base.select("rid", order.alias("first"))
 
-    sets = sketched.filter("n > 0").join(ids, "rid").groupBy("digest").agg(F.min("first").alias("first"), F.min("sig").alias("sig"))
+    sets = sketched.filter("n > 0").join(ids, "rid").groupBy("digest").agg(F.min("first").alias("first"), F.min("sig").alias("sig"), F.min("n").alias("n"))
     nodes = scratch.write(
-        sets.select(F.monotonically_increasing_id().alias("node"), "digest", "first", "sig", F.col("first.rid").alias("rid")), "nodes"
+        sets.select(F.monotonically_increasing_id().alias("node"), "digest", "first", "sig", "n", F.col("first.rid").alias("rid")), "nodes"
     )
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
@@ -216,15 +237,28 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
     buckets = banded.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
     multi = scratch.write(banded.join(buckets, "key"), "buckets")
 
-    stars = multi.filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
     side = lambda k: nodes.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}"))
-    seen = _agreeing(stars.join(side("a"), "a").join(side("b"), "b"))
-    links = _verify(seen, texts, nodes, width, percent, scratch)
-    labels = components(links, scratch)
+    agreeing = lambda pairs: _agreeing(pairs.join(side("a"), "a").join(side("b"), "b"))
+    verify = lambda pairs: _verify(pairs, texts, nodes, width, percent, scratch)
 
-    rest = scratch.write(_residue(multi.select("key", "node"), labels, nodes).join(stars.hint("merge"), ["a", "b"], "left_anti"), "residue")
-    if not rest.isEmpty():
-        more = _verify(rest, texts, nodes, width, percent, scratch)
+    tested = scratch.write(multi.filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), "stars")
+    multi = multi.select("key", "node")
+    links = verify(agreeing(tested))
+    labels = components(links, scratch)
+    mixed = _mixed(multi, labels, scratch)
+    for seed in range(STAR_ROUNDS):
+        if mixed.isEmpty():
+            break
+        stars = scratch.write(_stars(mixed, seed).join(tested, ["a", "b"], "left_anti"), "stars")
+        more = verify(agreeing(stars))
+        tested = tested.unionByName(stars)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = components(links, scratch)
+        mixed = _mixed(multi, labels, scratch)
+    if not mixed.isEmpty():
+        more = verify(_residue(mixed, nodes, percent).join(tested, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             labels = components(links.unionByName(more), scratch)
 
