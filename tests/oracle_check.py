@@ -74,7 +74,7 @@ def main(argv):
     from wishrank.session import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    keys = argv[2:] or list(entry.queries())
+    keys = argv[2:] or list(entry.oracle_sql())
     spark = local_session()
     con = duck(sf_dir)
     bad = 0

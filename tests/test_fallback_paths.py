@@ -1,8 +1,4 @@
-"""The whole pipeline with nothing broadcast and every repeated key treated as hot.
-
-At test scale every checked side fits the broadcast bound, so this forces the
-other way (shuffle joins with hot keys split) end to end and compares results.
-"""
+"""The whole pipeline on shuffle joins: nothing broadcast, other salts, same rows."""
 
 import os
 
@@ -10,20 +6,73 @@ import pytest
 
 from wishrank import Params, Recommender
 
+from .micro import micro_inputs
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
 def _rows(df):
-    return sorted(tuple(str(v) for v in r) for r in df.collect())
+    return df.columns, sorted(tuple(str(v) for v in r) for r in df.collect())
+
+
+FRAMES = {
+    "final_lists": lambda r: r.final_lists(),
+    "flat_result": lambda r: r.flat_result(),
+    "promo_flag": lambda r: r.promo_flag(),
+    "filled_wishlist": lambda r: r.filled_wishlist(),
+}
 
 
-def test_split_joins_end_to_end(spark):
+@pytest.mark.parametrize("union", ["true", "false"])
+def test_shuffle_joins_end_to_end(spark, union):
+    """Also with a Union that reports its children's partitioning (a setting of 4.1)."""
     base = Recommender.from_sf_dir(spark, SF, Params())
-    forced = Recommender.from_sf_dir(
-        spark, SF, Params(broadcast_rows=0, hot_key_rows=3, hot_key_splits=3, materialize=False)
-    )
-    assert _rows(forced.final_lists()) == _rows(base.final_lists())
-    assert _rows(forced.flat_result()) == _rows(base.flat_result())
-    assert _rows(forced.promo_flag()) == _rows(base.promo_flag())
-    assert _rows(forced.filled_wishlist()) == _rows(base.filled_wishlist())
+    want = {k: _rows(f(base)) for k, f in FRAMES.items()}
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.unionOutputPartitioning": union,
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        forced = Recommender.from_sf_dir(spark, SF, Params(salt=3, materialize=False))
+        assert "BroadcastHashJoin" not in forced.final_lists()._jdf.queryExecution().executedPlan().toString()
+        assert {k: _rows(f(forced)) for k, f in FRAMES.items()} == want
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_building_runs_no_job_but_stage_writes(spark):
+    """With every stage written once, building any frame again starts no job."""
+    rec = Recommender.from_sf_dir(spark, SF, Params())
+    for f in FRAMES.values():
+        f(rec)
+    rec.coverage_checks(), rec.category_candidates(), rec.assoc_candidates(), rec.bestsellers("cat")
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "build")
+    try:
+        for f in FRAMES.values():
+            f(rec)
+        rec.coverage_checks(), rec.category_candidates(), rec.assoc_candidates(), rec.recomdcount_histogram()
+        assert list(sc.statusTracker().getJobIdsForGroup("build")) == []
+        lazy = Recommender(spark, micro_inputs(spark), Params(materialize=False))
+        for f in FRAMES.values():
+            f(lazy)
+        lazy.coverage_checks(), lazy.quota_topk(), lazy.flat_candidates()
+        assert list(sc.statusTracker().getJobIdsForGroup("build")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    rec.close()
+
+
+def test_close_deletes_the_stages(spark):
+    rec = Recommender.from_sf_dir(spark, SF, Params())
+    rec.final_lists()
+    folder = rec.stage.root.removeprefix("file:")
+    assert os.listdir(folder)
+    rec.close()
+    assert not os.path.exists(folder)

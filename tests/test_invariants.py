@@ -47,7 +47,7 @@ def test_candidates_distinct(rec):
 
 def test_coverage_checks(rec):
     checks = {r.check: r.value for r in rec.coverage_checks().collect()}
-    assert checks["duplicate_candidate_rows"] == 0
+    assert checks["overlong_customers"] == 0
     assert checks["lists_over_budget"] == 0
     assert checks["listed_customers"] + checks["customers_without_list"] == checks["filled_customers"]
 

@@ -1,12 +1,11 @@
-"""keyed_join: the size-checked broadcast and the hot-key split give plain-join results."""
+"""keyed_join: salted or not, it gives the plain join's rows and columns."""
 
 import pytest
 
 from wishrank import Params
 from wishrank.functions.joins import keyed_join
 
-# Every key with more than one row on a side counts as hot; nothing is broadcast.
-SPLIT = Params(broadcast_rows=0, hot_key_rows=1, hot_key_splits=4)
+SALTED = Params(salt=4)
 
 
 def _rows(df):
@@ -16,7 +15,7 @@ def _rows(df):
 @pytest.fixture(scope="module")
 def sides(spark):
     left = spark.createDataFrame(
-        [("h", i, f"l{i}") for i in range(40)] + [("a", 1, "x"), ("b", 2, "y"), (None, 3, "z")],
+        [("h", i, f"l{i}") for i in range(40)] + [("a", 1, "x"), ("b", 2, "y"), (None, 3, "z"), (None, 4, "z")],
         "k string, lv int, ls string",
     )
     right = spark.createDataFrame(
@@ -26,34 +25,41 @@ def sides(spark):
     return left, right
 
 
+@pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_equals_plain(spark, sides, how):
+def test_equals_plain(spark, sides, how, hot):
     left, right = sides
     if how in ("left_semi", "left_anti"):
         right = right.select("k").distinct()
     plain = left.join(right, "k", how)
-    split = keyed_join(left, right, ["k"], how, SPLIT)
-    assert _rows(split.select(*plain.columns)) == _rows(plain)
+    got = keyed_join(left, right, ["k"], how, SALTED, hot=hot)
+    assert got.columns == plain.columns
+    assert _rows(got) == _rows(plain)
 
 
-def test_broadcast_path(spark, sides):
-    left, right = sides
-    out = keyed_join(left, right, ["k"], "inner", Params())
-    assert _rows(out) == _rows(left.join(right, "k", "inner").select(*out.columns))
-
+def test_hot_key_is_spread(spark, sides):
+    from pyspark.sql import functions as F
 
-def test_split_plan_has_no_broadcast_of_right(spark, sides):
-    left, right = sides
-    out = keyed_join(left, right, ["k"], "inner", SPLIT)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # Only the small hot-key table may be broadcast, never the right side itself.
-    assert "rv" not in "".join(line for line in plan.splitlines() if "BroadcastExchange" in line)
+    left = spark.range(20_000).select(F.lit("h").alias("k"), "id")
+    right = spark.createDataFrame([("h", 1)], "k string, v int").hint("merge")
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        parts = lambda hot: keyed_join(left, right, ["k"], "inner", Params(), hot=hot).groupBy(F.spark_partition_id()).count().count()
+        assert parts(True) > parts(False) == 1
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
 
 
-def test_broadcast_limit_bounds_bytes(spark):
-    from wishrank.functions.joins import broadcast_row_limit, row_width
-
-    df = spark.createDataFrame([("a", "b", 1)], "x string, y string, n int")
-    assert row_width(df) == 8 + 40 + 40 + 8
-    assert broadcast_row_limit(df, Params(broadcast_rows=1000, broadcast_bytes=960)) == 10
-    assert broadcast_row_limit(df, Params(broadcast_rows=5, broadcast_bytes=10**9)) == 5
+def test_no_job_and_no_single_partition(spark, sides):
+    left, right = sides
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("joins", "joins")
+    try:
+        out = keyed_join(left, right, ["k"], "inner", SALTED, hot=True)
+        assert list(tracker.getJobIdsForGroup("joins")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()

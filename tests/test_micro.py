@@ -72,14 +72,61 @@ def test_fill_category_from_goods(spark):
     assert ("U5", "G9", None, None) in rows  # goods never sold keeps NULL category and parent
 
 
-def test_null_customer_dropped_and_counted(spark):
+def test_null_customer_stays_in_stages_but_has_no_list(spark):
     from .micro import WISHLIST
 
     inputs = micro_inputs(spark, wishlist=WISHLIST + [(None, "G1", "C1")])
     rec = Recommender(spark, inputs, Params(materialize=False))
     assert _final(rec) == FINAL_B
+    assert _flat(rec) == {**FLAT_B, None: None}  # one row without a customer or a list
+    assert (None, "G1", "C1", "P1") in {tuple(r) for r in rec.filled_wishlist().collect()}
+    assert None in {r.cust_no for r in rec.assoc_candidates().collect()}
+    assert None not in {r.custno for r in rec.wishlist_buckets().collect()}
     checks = {r.check: r.value for r in rec.coverage_checks().collect()}
-    assert checks["null_customers"] == 1
+    assert checks["null_customers"] == 1 and checks["repeated_wishlist_rows"] == 1
+
+
+def test_null_goods_hold_slots_but_are_never_recommended(spark):
+    from .micro import POPULARITY
+
+    inputs = micro_inputs(spark, popularity=POPULARITY + [(60, None, "C1", "P1")])
+    rec = Recommender(spark, inputs, Params(materialize=False))
+    assert None in {r.recomdlist for r in rec.bestsellers("cat").collect()}
+    assert None not in {r.recomdlist for r in rec.category_candidates().collect()}
+    for count, items in _final(rec).values():
+        assert count == len(items.split(","))
+
+
+def test_overlong_codes_are_counted(spark):
+    wish = [("U" * 21, "G1", "C1"), ("U1", "G" * 31, None)]
+    rec = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False))
+    checks = {r.check: r.value for r in rec.coverage_checks().collect()}
+    assert checks["overlong_customers"] == 1 and checks["overlong_codes"] == 1
+
+
+def test_case_can_be_folded(spark):
+    wish = [("u1", "g1", "c1"), ("U2 ", "G1", "C1"), ("U2", "G2", "C1")]
+    exact = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False))
+    assert set(_final(exact)) == {"U2"}
+    folded = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False, fold_case=True))
+    assert {k: (n, v.upper()) for k, (n, v) in _final(folded).items()} == {"u1": FINAL_B["U1"], "u2": FINAL_B["U2"]}
+
+
+def test_promotion_copies_of_one_goods_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from wishrank.operators.promo import promo_flag
+
+    popularity = spark.createDataFrame([(5, "G", "C", "P")], "count int, goods_code string, category_code string, p2_category_code string")
+    promotion = spark.range(1_000_000).select(F.lit("G").alias("goods_code"))
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        parts = promo_flag(popularity, promotion, Params()).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+    assert sum(r["count"] for r in parts) == 1_000_000
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 500_000
 
 
 def test_importance_order_text_vs_numeric(spark):
@@ -138,14 +185,3 @@ def test_null_category_sorts_first_in_index(spark):
     rec = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False))
     idx = sorted((r.goodindex, r.catecode, r.bucket) for r in rec.indexed.collect())
     assert idx == [(1, None, 2), (2, "C9", 2)]
-
-
-def test_release_unpersists_inputs(spark):
-    from pyspark import StorageLevel
-
-    inputs = micro_inputs(spark)
-    kept = type(inputs)(*(df.persist(StorageLevel.MEMORY_AND_DISK) for df in inputs.__dict__.values()))
-    rec = Recommender(spark, kept, Params(materialize=False))
-    assert _final(rec) == FINAL_B
-    rec.release()
-    assert all(not df.is_cached for df in kept.__dict__.values())

@@ -1,6 +1,7 @@
 """Plan shape: the scale properties the README promises, read off explain()."""
 
 import os
+import re
 
 import pytest
 
@@ -29,16 +30,25 @@ def test_final_lists_single_customer_shuffle(rec):
     assert "row_number(), 5, Partial" in plan
 
 
-def test_flat_topk_partial_limit(rec):
+def test_flat_candidates_are_cut_before_their_one_shuffle(rec):
     plan = _plan(rec.flat_result())
-    assert "row_number(), 40, Partial" in plan
+    lines = plan.splitlines()
+    union = next(k for k, line in enumerate(lines) if re.search(r"\bUnion$", line.strip()))
+    above = lines[:union]
+    # One shuffle by customer above the union, with a partial limit of both parts below it.
+    shuffles = [k for k, line in enumerate(above) if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "hashpartitioning(CustNO" in above[shuffles[0]]
+    assert any(re.search(r"WindowGroupLimit.*dense_rank.*, 40, Partial", line) for line in above[shuffles[0] :])
 
 
 def test_bestsellers_partial_limit(rec, spark):
     from wishrank.operators import candidates
 
     df = candidates.bestsellers(rec.weighted, rec.wishlist_set, candidates.CAT, rec.params)
-    assert "row_number(), 40, Partial" in _plan(df)
+    plan = _plan(df)
+    assert "row_number(), 40, Partial" in plan
+    # Ranked first: the semi join with the present codes stands above the partial limit.
+    assert plan.index("LeftSemi") < plan.index("row_number(), 40, Partial")
 
 
 def test_scans_are_pruned_and_filtered(spark):

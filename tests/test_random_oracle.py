@@ -1,4 +1,4 @@
-"""Differential test on generated inputs: Spark plans vs the literal oracle SQL.
+"""Differential test on generated inputs: Spark plans vs the oracle SQL.
 
 The generator reaches the cases the driver tables never produce: NULL
 categories, goods and items, several parents per category, a parent code equal
@@ -31,6 +31,8 @@ def _gen(seed):
             continue  # never sold
         for _ in range(rnd.choice([1, 1, 1, 2])):
             pop.append((rnd.randint(1, 60), g, rnd.choice(CATS), rnd.choice(PARENTS)))
+    for _ in range(6):  # goods, categories and parents that are not known
+        pop.append((rnd.randint(1, 60), rnd.choice([None, rnd.choice(GOODS)]), rnd.choice([*CATS, None]), rnd.choice([*PARENTS, None])))
     pop += pop[: rnd.randint(0, 3)]  # identical popularity rows
     promo = [(g,) for g in rnd.sample(GOODS, 8)]
     promo += promo[:3]
@@ -38,7 +40,7 @@ def _gen(seed):
     for c in range(25):
         for _ in range(rnd.choice([1, 1, 2, 3, 4, 5, 6, 9])):
             cat = None if rnd.random() < 0.2 else rnd.choice(CATS + ["C9"])
-            wl.append((f"U{c}", rnd.choice(GOODS), cat))
+            wl.append((f"U{c}" if c else None, rnd.choice(GOODS) if rnd.random() < 0.9 else None, cat))
     wl += wl[:4]
     oa = [(rnd.choice(GOODS), rnd.choice(GOODS + [None]), str(rnd.randint(1, 120))) for _ in range(120)]
     rl = [(rnd.choice(GOODS), rnd.choice(GOODS + [None]), str(rnd.randint(0, 12))) for _ in range(60)]
@@ -66,17 +68,17 @@ def _rows(records):
 
 
 CHECKS = {
-    "final": ("SELECT custno, recomdcount, recomdlist FROM final", lambda r: r.final_lists()),
-    "flat": ("SELECT CustNO, Items FROM flat_result", lambda r: r.flat_result()),
+    "final": ("SELECT custno, recomdcount, recomdlist FROM lists", lambda r: r.final_lists()),
+    "flat": ("SELECT CustNO, Items FROM flat_list", lambda r: r.flat_result()),
     "quota": (
-        "SELECT custno, bucket, goodindex, recomdlist, discounttype, importance FROM quota",
+        "SELECT custno, bucket, goodindex, recomdlist, discounttype, importance FROM shares",
         lambda r: r.quota_topk(),
     ),
     "cand": (
-        "SELECT custno, bucket, goodindex, recomdlist, discounttype, importance FROM cand",
+        "SELECT custno, bucket, goodindex, recomdlist, discounttype, importance FROM options",
         lambda r: r.bucket_candidates_full(),
     ),
-    "tp": ("SELECT * FROM tp", lambda r: r.category_candidates()),
+    "tp": ("SELECT cust_no, catecode, recomdlist, discounttype FROM shelf_items", lambda r: r.category_candidates()),
 }
 
 
@@ -86,6 +88,8 @@ def test_random_inputs_match_oracle(spark, seed, mode):
     inputs = micro_inputs(spark, *data)
     rec = Recommender(spark, inputs, Params(fill_mode=mode, materialize=False))
     con = _duck(*data)
+    for r in rec.final_lists().collect():
+        assert r.recomdcount == len(r.recomdlist.split(","))
     for name, (sql, fn) in CHECKS.items():
         df = fn(rec)
         want = con.execute(stage_sql(mode, sql)).fetchall()

@@ -2,7 +2,7 @@
 
 from .params import DEFAULT, Params
 from .plans.recommend import Recommender
-from .sources.inputs import Inputs, catalog_inputs, derive_inputs
+from .sources.inputs import Inputs, DerivedInputs, catalog_inputs
 from .sources.sinks import write_results
 
-__all__ = ["DEFAULT", "Params", "Recommender", "Inputs", "catalog_inputs", "derive_inputs", "write_results"]
+__all__ = ["DEFAULT", "Params", "Recommender", "Inputs", "DerivedInputs", "catalog_inputs", "write_results"]

@@ -1,23 +1,11 @@
-"""Join helpers that stay correct and balanced when one key is hot.
-
-Two shapes occur in the pipeline:
-
-* a large fact side joined to a per-key side that is usually small (a category
-  map, one row per goods, a best-seller list).  The small side is broadcast
-  only after its row count has been checked against ``Params.broadcast_rows``
-  and, through a schema-based row width, ``Params.broadcast_bytes``;
-  beyond that bound the join falls back to a shuffle join whose hot keys are
-  split (below).
-* two large sides joined on a key that may be hot on either side.
-
-Hot keys are found with one partial-aggregated ``groupBy(key).count()`` per
-side.  A key with more than ``Params.hot_key_rows`` rows on a side is cut into
-``Params.hot_key_splits`` pieces on that side by a hash of the whole row, and
-the other side's rows of that key are repeated once per piece, so every
-(piece, piece) pair meets in its own task.  The hot-key table has at most
-``rows / hot_key_rows`` entries, which is the size bound that lets it be
-broadcast.  Whole-row duplicates hash to the same piece, so callers pass
-distinct rows where a key can be hot (the pipeline works on sets).
+"""Equi-joins that stay balanced when one key of the left side is hot.
+
+No job runs while a plan is built.  Whether a side is broadcast is left to the planner
+and, from the sizes of written shuffle files, to adaptive execution; a side is never
+forced.  A join whose left key is known to be hot (a goods, a category or a customer may
+hold a third of all rows) is salted: each left row goes to one of ``Params.salt`` pieces
+by a hash of the whole row, and the right side, at most a few rows per key, is repeated
+once per piece.  The salt is fixed, so plan, columns and result do not depend on sizes.
 """
 
 from __future__ import annotations
@@ -26,47 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..params import Params
 
-_LP, _RP = "_wr_lpieces", "_wr_rpieces"
-_LI, _RJ = "_wr_li", "_wr_rj"
-
-
-# Width assumed per string value: codes are at most 30 characters (CHAR(30)),
-# plus length and offset overhead.
-_STRING_WIDTH = 40
-
-
-def row_width(df: DataFrame) -> int:
-    """Upper estimate of one row's size in bytes from the schema."""
-    width = 8
-    for f in df.schema.fields:
-        width += _STRING_WIDTH if isinstance(f.dataType, T.StringType) else 8
-    return width
-
-
-def broadcast_row_limit(df: DataFrame, params: Params) -> int:
-    return max(0, min(params.broadcast_rows, params.broadcast_bytes // row_width(df)))
-
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The count is taken with ``limit(max_rows + 1)`` so the check stops early on
-    a side that is far too large.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _hot_keys(df: DataFrame, on: Sequence[str], threshold: int, col: str, splits: int) -> DataFrame:
-    return (
-        df.groupBy(*on)
-        .count()
-        .filter(F.col("count") > threshold)
-        .select(*on, F.lit(splits).alias(col))
-    )
+_SALT = "_wr_salt"
 
 
 def keyed_join(
@@ -76,56 +27,21 @@ def keyed_join(
     how: str = "inner",
     params: Params | None = None,
     *,
-    right_small: bool | None = None,
+    hot: bool = False,
 ) -> DataFrame:
-    """Equi-join ``left`` and ``right`` on the columns ``on``.
+    """Join on the columns ``on``: columns of ``left``, then the other columns of ``right``.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  For the
-    outer and semi/anti forms only the left side is split (each left row then
-    still meets every right row of its key exactly once).
-    ``right_small`` skips the size check when the caller already knows it.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  ``hot`` salts the
+    join: any number of left rows may share a key (or have a null one), as long as they
+    are not all equal; callers with repeated whole rows join their counts.
     """
-    p = params or Params()
-    on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    # The checked sides in the pipeline are written stages or short plans over
-    # them, so checking and then joining computes them twice at low cost.
-    small = fits_broadcast(right, broadcast_row_limit(right, p)) if right_small is None else right_small
-    if small:
-        return left.join(F.broadcast(right), on, how)
-
-    hot = _hot_keys(left, on, p.hot_key_rows, _LP, p.hot_key_splits)
-    if how == "inner":
-        rhot = _hot_keys(right, on, p.hot_key_rows, _RP, p.hot_key_splits)
-        hot = hot.join(rhot, on, "full")
-    else:
-        hot = hot.withColumn(_RP, F.lit(1))
-    hot = hot.fillna(1, [_LP, _RP])
-    # At most (|left| + |right|) / hot_key_rows rows: safe to broadcast.
-    if hot.limit(1).count() == 0:
-        return left.join(right, on, how)
-    hot = F.broadcast(hot)
-
-    lcols, rcols = left.columns, [c for c in right.columns]
-    ls = (
-        left.join(hot, on, "left")
-        .fillna(1, [_LP, _RP])
-        .withColumn(_LI, F.pmod(F.xxhash64(*lcols), F.col(_LP)))
-        .withColumn(_RJ, F.explode(F.sequence(F.lit(0), F.col(_RP) - 1)))
-        .drop(_LP, _RP)
-    )
-    if how in ("left_semi", "left_anti"):
-        rs = right.select(*on).distinct()
-    else:
-        rs = right
-    rs = (
-        rs.join(hot, on, "left")
-        .fillna(1, [_LP, _RP])
-        .withColumn(_RJ, F.pmod(F.xxhash64(*rs.columns), F.col(_RP)))
-        .withColumn(_LI, F.explode(F.sequence(F.lit(0), F.col(_LP) - 1)))
-        .drop(_LP, _RP)
-    )
-    out = ls.join(rs, on + [_LI, _RJ], how)
-    extra = [c for c in rcols if c not in on] if how in ("inner", "left") else []
-    return out.select(*lcols, *extra)
+    on, columns = list(on), list(left.columns)
+    rest = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
+    salt = (params or Params()).salt if hot else 1
+    if salt > 1:
+        left = left.withColumn(_SALT, F.pmod(F.xxhash64(*columns), F.lit(salt)).cast("int"))
+        right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        on = [*on, _SALT]
+    return left.join(right, on, how).select(*columns, *rest)

@@ -4,15 +4,15 @@ A customer with n distinct filled rows is in bucket min(n, max_items); bucket
 b keeps the first b rows (by goods, category, parent; NULLs first), numbers
 them 1..b (goodindex), and each row may contribute floor(budget / b) items.
 
-Candidates of an indexed row r of customer c (equal to the reference's
-customer/goods and customer/category joins against the full candidate tables):
+Candidates of an indexed row r of customer c (the same rows as joins of
+customer and goods, or customer and category, against the full candidate tables):
 
 * association: every association item of r's goods;
 * category best-sellers of r's category, unless every filled row of c in
   that category has one and the same goods g, in which case g itself is left
   out;
-* parent best-sellers looked up by r's **category** code (the reference joins
-  the overloaded code column to the category), under the same rule for c's
+* parent best-sellers looked up by r's **category** code (the code
+  column is overloaded and always joined to the category), under the same rule for c's
   rows with that parent code.  Bucket 1 joins on the customer alone, so there
   the lookup also uses r's own parent code.
 
@@ -36,7 +36,7 @@ CAND_COLS = ("custno", "bucket", "goodindex", "recomdlist", "discounttype", "imp
 
 def wishlist_buckets(wset: DataFrame, params: Params) -> DataFrame:
     """(custno, wishlist_rows, bucket) per customer."""
-    return wset.groupBy("custno").agg(F.count(F.lit(1)).alias("wishlist_rows")).select(
+    return wset.filter(F.col("custno").isNotNull()).groupBy("custno").agg(F.count(F.lit(1)).alias("wishlist_rows")).select(
         "custno",
         "wishlist_rows",
         F.least(F.col("wishlist_rows"), F.lit(params.max_items)).cast("int").alias("bucket"),
@@ -98,7 +98,7 @@ def bucket_candidates(
 ) -> DataFrame:
     """(custno, bucket, goodindex, recomdlist, discounttype, importance), distinct.
 
-    With ``cut=False`` this is the reference's full candidate table (``assoc``
+    With ``cut=False`` this is the full candidate table (``assoc``
     is the full per-goods association table).  With ``cut=True`` ``assoc`` is
     ``assoc_best_top`` and each row only takes entries that can still make its
     quota q: association entries at position <= q of their goods' list, and
@@ -109,14 +109,16 @@ def bucket_candidates(
     """
     rows = indexed.select("custno", "bucket", "goodindex", "goodscode").filter(F.col("goodscode").isNotNull())
     acols = ["goodscode", "recomdlist", "discounttype", "importance"] + (["pos"] if cut else [])
-    by_assoc = keyed_join(rows, assoc.select(*acols), ["goodscode"], "inner", params)
+    by_assoc = keyed_join(rows, assoc.select(*acols), ["goodscode"], "inner", params, hot=True)
     if cut:
         by_assoc = by_assoc.filter(F.col("pos") <= quota("bucket", params))
     by_assoc = by_assoc.select(*CAND_COLS)
 
     looks = _lookups(indexed, params).join(code_summaries(wset), ["custno", "level", "key"], "inner")
-    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype", "pos")
-    by_best = keyed_join(looks, b, ["level", "key"], "inner", params)
+    b = bind.filter(F.col("recomdlist").isNotNull()).select(
+        "level", F.col("catecode").alias("key"), "recomdlist", "discounttype", "pos"
+    )
+    by_best = keyed_join(looks, b, ["level", "key"], "inner", params, hot=True)
     if cut:
         by_best = by_best.filter(F.col("pos") <= quota("bucket", params) + 1)
     by_best = (

@@ -46,11 +46,10 @@ def assoc_by_goods(rules: DataFrame, flags: DataFrame, params: Params) -> DataFr
     """(goodscode, recomdlist, importance, discounttype), distinct.
 
     Keeps an item only if it sells (appears in popularity), coded 1/2 when off
-    promotion and 5/6 when promoted.  One join to the per-goods flag table
-    replaces the four IN-subqueries of the reference.
+    promotion and 5/6 when promoted, through one join to the per-goods flag table.
     """
     f = flags.select(F.col("goodscode").alias("recomdlist"), "promotype")
-    j = keyed_join(rules, f, ["recomdlist"], "inner", params)
+    j = keyed_join(rules, f, ["recomdlist"], "inner", params, hot=True)
     return j.select(
         "goodscode",
         "recomdlist",
@@ -60,8 +59,8 @@ def assoc_by_goods(rules: DataFrame, flags: DataFrame, params: Params) -> DataFr
 
 
 def assoc_candidates(filled: DataFrame, assoc: DataFrame, params: Params) -> DataFrame:
-    """P7 (#ardiscount): association candidates of every filled wishlist row."""
-    j = keyed_join(filled.select("custno", "goodscode", "catecode").distinct(), assoc, ["goodscode"], "inner", params)
+    """Association candidates of every filled wishlist row."""
+    j = keyed_join(filled.select("custno", "goodscode", "catecode").distinct(), assoc, ["goodscode"], "inner", params, hot=True)
     return j.select(
         F.col("custno").alias("cust_no"),
         "goodscode",
@@ -152,16 +151,19 @@ def bestsellers(weighted: DataFrame, filled: DataFrame, level: str, params: Para
     """
     key, other = ("catecode", "p2code") if level == CAT else ("p2code", "catecode")
     base = SAME_CATEGORY if level == CAT else PARENT_CATEGORY
-    rows = weighted.join(
-        _present_codes(filled, level).withColumnRenamed("key", key), key, "left_semi"
-    )
     w = Window.partitionBy(key, "promotype").orderBy(
         F.col("count").desc(), F.col("goodscode"), F.col(other)
     )
-    ranked = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= params.k)
+    # Rank first (at most k rows per code leave a task), then keep the present codes.
+    ranked = (
+        weighted.filter(F.col(key).isNotNull())
+        .withColumn("_rn", F.row_number().over(w))
+        .filter(F.col("_rn") <= params.k)
+    )
     ranked = ranked.withColumn(
         "_run", F.sum("w").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).filter(F.col("_run") - F.col("w") < params.k)
+    ranked = ranked.join(_present_codes(filled, level).withColumnRenamed("key", key), key, "left_semi")
     return ranked.select(
         F.col(key).alias("catecode"),
         F.col("goodscode").alias("recomdlist"),
@@ -173,13 +175,14 @@ def binding(weighted: DataFrame, filled: DataFrame, params: Params) -> DataFrame
     """(level, catecode, recomdlist, discounttype, pos) for both levels.
 
     ``pos`` numbers a code's list by (code, item): later stages use it to skip
-    entries that enough better entries of the same list already beat.  The
-    table has at most 2 * k rows per code, so the window is cheap.
+    entries that enough better entries of the same list already beat.  A NULL item
+    holds a best-seller slot but is never recommended, so it is numbered last.
+    The table has at most 2 * k rows per code, so the window is cheap.
     """
     both = bestsellers(weighted, filled, CAT, params).withColumn("level", F.lit(CAT)).unionByName(
         bestsellers(weighted, filled, P2, params).withColumn("level", F.lit(P2))
     )
-    w = Window.partitionBy("level", "catecode").orderBy("discounttype", "recomdlist")
+    w = Window.partitionBy("level", "catecode").orderBy(F.col("recomdlist").isNull(), "discounttype", "recomdlist")
     return both.withColumn("pos", F.row_number().over(w))
 
 
@@ -209,7 +212,7 @@ def code_summaries(wset: DataFrame) -> DataFrame:
 
 
 def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
-    """P9 (#tpdiscount): best-sellers of each row's category and parent, minus the row's goods.
+    """Best-sellers of each row's category and parent, minus the row's goods.
 
     (cust_no, catecode, recomdlist, discounttype), distinct; catecode holds
     the category for codes 3/7 and the parent code for 4/8.
@@ -228,8 +231,9 @@ def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> D
 
 def list_entries(summ: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
     """(custno, level, key, recomdlist, discounttype): each summarised list of a
-    customer, minus the goods when all of the customer's rows there carry it."""
-    b = bind.select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
-    return keyed_join(summ, b, ["level", "key"], "inner", params).filter(
+    customer, minus the goods when all of the customer's rows there carry it.
+    NULL items are never recommended."""
+    b = bind.filter(F.col("recomdlist").isNotNull()).select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
+    return keyed_join(summ, b, ["level", "key"], "inner", params, hot=True).filter(
         ~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist")))
     )

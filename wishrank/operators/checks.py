@@ -1,6 +1,7 @@
-"""Data-quality checks the reference kept as commented queries.
+"""Data-quality checks over the inputs and the results.
 
-One row per check: (check, value).  Every value is a whole-table aggregate.
+One row per check: (check, value).  Each frame is read once: the wishlist by one
+grouped count, the filled set and the final lists by one aggregate each.
 """
 
 from __future__ import annotations
@@ -13,41 +14,37 @@ from pyspark.sql import functions as F
 if TYPE_CHECKING:
     from ..plans.recommend import Recommender
 
-CODE_MAX_LEN = 30  # codes were CHAR(30)
-
-
-def _one(df: DataFrame, name: str, value) -> DataFrame:
-    return df.agg(value.cast("bigint").alias("value")).select(F.lit(name).alias("check"), "value")
+CODE_MAX_LEN = 30  # codes are CHAR(30) in the base tables
+CUSTOMER_MAX_LEN = 20  # the flat result holds customers of at most 20 characters
 
 
 def coverage_checks(rec: "Recommender") -> DataFrame:
-    raw = rec.raw.wishlist
-    wl = rec.inputs.wishlist
-    wset = rec.wishlist_set
-    final = rec.final_lists()
-    cands = rec.bucket_candidates_full()
-    listed = final.select("custno")
-    unlisted = wset.select("custno").distinct().join(listed, "custno", "left_anti")
-    overlong = (
-        F.length("cust_no") > CODE_MAX_LEN
-    ) | (F.length("goods_code") > CODE_MAX_LEN) | (F.length("category_code") > CODE_MAX_LEN)
-    parts = [
-        _one(raw, "null_customers", F.sum(F.when(F.col("cust_no").isNull(), 1).otherwise(0))),
-        _one(wl, "overlong_codes", F.sum(F.when(overlong, 1).otherwise(0))),
-        _one(wl, "wishlist_customers", F.count_distinct("cust_no")),
-        _one(wl.distinct(), "wishlist_distinct_rows", F.count(F.lit(1))),
-        _one(wset, "filled_customers", F.count_distinct("custno")),
-        _one(wset, "filled_distinct_rows", F.count(F.lit(1))),
-        _one(final, "listed_customers", F.count(F.lit(1))),
-        _one(unlisted, "customers_without_list", F.count(F.lit(1))),
-        _one(
-            cands.groupBy(*cands.columns).count().filter(F.col("count") > 1),
-            "duplicate_candidate_rows",
-            F.count(F.lit(1)),
-        ),
-        _one(final.filter(F.col("recomdcount") > rec.params.budget), "lists_over_budget", F.count(F.lit(1))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    copies = F.col("n")
+    long = lambda c, n: F.coalesce(F.length(c) > n, F.lit(False))
+    overlong = long("cust_no", CODE_MAX_LEN) | long("goods_code", CODE_MAX_LEN) | long("category_code", CODE_MAX_LEN)
+    rows = rec.inputs.wishlist.groupBy("cust_no", "goods_code", "category_code").agg(F.count(F.lit(1)).alias("n"))
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, copies)), F.lit(0))
+    wish = rows.agg(
+        total(F.col("cust_no").isNull()).alias("null_customers"),
+        total(overlong).alias("overlong_codes"),
+        total(long("cust_no", CUSTOMER_MAX_LEN)).alias("overlong_customers"),
+        F.count_distinct("cust_no").alias("wishlist_customers"),
+        F.count(F.lit(1)).alias("wishlist_distinct_rows"),
+        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("repeated_wishlist_rows"),
+    )
+    filled = rec.wishlist_set.agg(
+        F.count_distinct("custno").alias("filled_customers"), F.count(F.lit(1)).alias("filled_distinct_rows")
+    )
+    over = F.when(F.col("recomdcount") > rec.params.budget, 1)
+    final = rec.final.agg(F.count(F.lit(1)).alias("listed_customers"), F.count(over).alias("lists_over_budget"))
+    # Every listed customer has a filled row, so those without a list are the difference
+    # of two counts.  A dozen one-value rows are added up at the end.
+    filled = filled.withColumn("customers_without_list", F.col("filled_customers"))
+    final = final.withColumn("customers_without_list", -F.col("listed_customers"))
+
+    def spread(frame: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("value")) for c in frame.columns]
+        return frame.select(F.explode(F.array(*pairs)).alias("p")).select("p.check", "p.value")
+
+    rows = spread(wish).unionByName(spread(filled)).unionByName(spread(final))
+    return rows.groupBy("check").agg(F.sum("value").alias("value"))

@@ -43,13 +43,14 @@ def category_parent_map(source: DataFrame, popularity: DataFrame, params: Params
 def fill_parent(source: DataFrame, cmap: DataFrame, params: Params) -> DataFrame:
     """Attach the parent code to rows that have a category.
 
-    A category with several parent codes yields one row per parent.  The map
-    holds one row per (category, parent) pair: broadcast when its checked size
-    allows, otherwise a shuffle join that splits hot categories.
+    A category with several parent codes yields one row per parent.  Repeated
+    rows (raw wishlists, ``inner`` mode) are counted first and spelled out after
+    the join, so a category of any size is spread over tasks.
     """
-    rows = source.filter(F.col("category_code").isNotNull())
+    rows = source.filter(F.col("category_code").isNotNull()).groupBy("cust_no", "goods_code", "category_code").count()
     cmap = cmap.filter(F.col("category_code").isNotNull())
-    out = keyed_join(rows, cmap, ["category_code"], "inner", params)
+    out = keyed_join(rows, cmap, ["category_code"], "inner", params, hot=True)
+    out = out.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))))
     return out.select(
         F.col("cust_no").alias("custno"),
         F.col("goods_code").alias("goodscode"),
@@ -58,17 +59,13 @@ def fill_parent(source: DataFrame, cmap: DataFrame, params: Params) -> DataFrame
     )
 
 
-def first_category(source: DataFrame, popularity: DataFrame) -> DataFrame:
-    """(goods_code, pick_category, pick_p2) for goods of NULL-category rows.
+def first_category(popularity: DataFrame) -> DataFrame:
+    """(goods_code, pick_category, pick_p2) for every goods that sells.
 
     The first (category, parent) per goods, NULLs first, as a grouped minimum
     of a struct (a partial aggregate, so a goods with many categories is cheap).
     """
-    needed = source.filter(F.col("category_code").isNull()).select("goods_code").distinct()
-    triples = popularity.select("goods_code", "category_code", "p2_category_code").join(
-        needed, "goods_code", "left_semi"
-    )
-    return triples.groupBy("goods_code").agg(
+    return popularity.groupBy("goods_code").agg(
         F.min(F.struct(F.col("category_code").alias("c"), F.col("p2_category_code").alias("p"))).alias("s")
     ).select(
         "goods_code",
@@ -79,14 +76,13 @@ def first_category(source: DataFrame, popularity: DataFrame) -> DataFrame:
 
 def fill_category(source: DataFrame, popularity: DataFrame, params: Params) -> DataFrame:
     """P5: one filled row per (customer, goods) among NULL-category rows."""
-    # A NULL goods matches nothing in the reference's goods join, in both modes.
+    # A NULL goods matches nothing, in both modes.
     rows = (
         source.filter(F.col("category_code").isNull() & F.col("goods_code").isNotNull())
         .select("cust_no", "goods_code")
         .distinct()
     )
-    pick = first_category(source, popularity)
-    out = keyed_join(rows, pick, ["goods_code"], params.fill_mode, params)
+    out = keyed_join(rows, first_category(popularity), ["goods_code"], params.fill_mode, params, hot=True)
     return out.select(
         F.col("cust_no").alias("custno"),
         F.col("goods_code").alias("goodscode"),

@@ -18,7 +18,7 @@ FLAT_COLS = ("CustNO", "item", "type")
 
 
 def flat_candidates(ar: DataFrame, tp: DataFrame) -> DataFrame:
-    """P10 (CL_RecItemv4): association rows distinct on (customer, item, importance, code)
+    """P10: association rows distinct on (customer, item, importance, code)
     plus best-seller rows distinct on (customer, item, code).
 
     The importance is carried as a hidden tie-breaker column ``_imp`` so that the
@@ -50,7 +50,7 @@ def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame,
     so one distinct over (customer, item, type, importance) covers both.
     """
     ar = (
-        keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", params)
+        keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", params, hot=True)
         .select(
             F.col("custno").alias("CustNO"),
             F.col("recomdlist").alias("item"),
@@ -64,17 +64,17 @@ def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame,
         F.col("discounttype").cast("string").alias("type"),
         F.lit(None).cast("string").alias("_imp"),
     )
-    # A best-seller value outside a customer's ``budget`` smallest has that
-    # many distinct rows ahead of it.  dense_rank keeps every copy of the
-    # values it keeps (copies come once per list holding the item, so they
-    # are few) and runs as a partial top-k before the shuffle.
-    w = Window.partitionBy("CustNO").orderBy("type", "item")
-    tp = tp.withColumn("_dr", F.dense_rank().over(w)).filter(F.col("_dr") <= params.budget).drop("_dr")
-    return ar.unionByName(tp).distinct()
+    # A value outside a customer's ``budget`` smallest has that many distinct rows ahead
+    # of it.  dense_rank keeps every copy of the values it keeps and runs as a partial
+    # top-k on both parts before their one shuffle, so a customer ships the copies of at
+    # most ``budget`` values per task.  The distinct and the top list reuse that shuffle.
+    w = Window.partitionBy("CustNO").orderBy("type", "item", "_imp")
+    both = ar.unionByName(tp).withColumn("_dr", F.dense_rank().over(w))
+    return both.filter(F.col("_dr") <= params.budget).drop("_dr").distinct()
 
 
 def flat_topk(flat: DataFrame, params: Params) -> DataFrame:
-    """P11 (CL_RedunceRecItemv4): first ``budget`` rows per customer by (type, item).
+    """First ``budget`` rows per customer by (type, item).
 
     ``row_number() <= budget`` is planned as a partial top-k before the shuffle,
     so a customer with a huge candidate set sends at most ``budget`` rows per
@@ -89,5 +89,10 @@ def flat_topk(flat: DataFrame, params: Params) -> DataFrame:
 
 
 def flat_result(topk: DataFrame) -> DataFrame:
-    """P12 (CL_Resultv4): one comma-joined list per customer, ordered by (type, item)."""
-    return topk.groupBy("CustNO").agg(ordered_list("item", "type", "item").alias("Items"))
+    """One comma-joined list per customer, ordered by (type, item).
+
+    Rows without a customer form one row whose list is NULL (no customer equals NULL).
+    """
+    return topk.groupBy("CustNO").agg(ordered_list("item", "type", "item").alias("Items")).select(
+        "CustNO", F.when(F.col("CustNO").isNotNull(), F.col("Items")).alias("Items")
+    )

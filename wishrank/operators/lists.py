@@ -12,7 +12,7 @@ FINAL_COLS = ("custno", "recomdcount", "recomdlist")
 
 
 def final_lists(merged: DataFrame, params: Params) -> DataFrame:
-    """P21 (#table_final): (custno, recomdcount, recomdlist) per customer.
+    """(custno, recomdcount, recomdlist) per customer.
 
     Buckets hold disjoint customers, so one grouped aggregate replaces the
     five-way UNION.  Items are listed by (lowest code, highest importance,
@@ -26,5 +26,5 @@ def final_lists(merged: DataFrame, params: Params) -> DataFrame:
 
 
 def recomdcount_histogram(final: DataFrame) -> DataFrame:
-    """How many customers have each list length."""
-    return final.groupBy("recomdcount").agg(F.count(F.lit(1)).alias("customers"))
+    """How many customers have each list length, shortest first."""
+    return final.groupBy("recomdcount").agg(F.count(F.lit(1)).alias("customers")).sort("recomdcount")

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.joins import keyed_join
 from ..params import Params
 
+#: Copies of a row that one task spells out at a time.
+COPIES = 1000
+
 MPC_COLS = ("count", "goodscode", "catecode", "p2code", "promotype")
 
 
@@ -30,23 +33,23 @@ def promo_counts(promotion: DataFrame) -> DataFrame:
 def promo_flag(popularity: DataFrame, promotion: DataFrame, params: Params) -> DataFrame:
     """The promotion-flagged popularity table with every copy spelled out.
 
-    Goods without a promotion row pass through once with promotype 1.  Goods
-    with promotion rows are inner-joined to the raw promotion rows: broadcast
-    when the checked size allows, else a join whose hot keys (a goods repeated
-    very often) are split on both sides.
+    Goods without a promotion row pass through once with promotype 1.  The others join
+    the *number* of their promotion rows (one row per goods) and are expanded to that
+    many copies in two levels with a shuffle between, so a goods listed any number of
+    times is spelled out by many tasks.
     """
-    counts = promo_counts(promotion).select("goods_code", F.lit(1).alias("_promoted"))
-    flagged = keyed_join(popularity, counts, ["goods_code"], "left", params)
-    plain = flagged.filter(F.col("_promoted").isNull()).select(
-        *[c for c in popularity.columns], F.lit(1).alias("promotype")
+    flagged = keyed_join(popularity, promo_counts(promotion), ["goods_code"], "left", params, hot=True)
+    own = list(popularity.columns)
+    plain = flagged.filter(F.col("m").isNull()).select(*own, F.lit(1).alias("promotype"))
+    blocks = flagged.filter(F.col("m").isNotNull()).select(
+        *own, "m", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / COPIES))).alias("_block")
+    )
+    copies = F.least(F.lit(COPIES), F.col("m") - F.col("_block") * COPIES)
+    promoted = (
+        blocks.repartition(*[F.col(c) for c in own], F.col("_block"))
+        .select(*own, F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+        .select(*own, F.lit(0).alias("promotype"))
     )
-    promoted = keyed_join(
-        flagged.filter(F.col("_promoted").isNotNull()).drop("_promoted"),
-        promotion.filter(F.col("goods_code").isNotNull()).select("goods_code"),
-        ["goods_code"],
-        "inner",
-        params,
-    ).select(*popularity.columns, F.lit(0).alias("promotype"))
     return _rename_mpc(plain.unionByName(promoted))
 
 
@@ -69,7 +72,7 @@ def weighted_popularity(popularity: DataFrame, promotion: DataFrame, params: Par
     up a task.
     """
     pop = popularity.groupBy(*popularity.columns).agg(F.count(F.lit(1)).alias("n"))
-    joined = keyed_join(pop, promo_counts(promotion), ["goods_code"], "left", params)
+    joined = keyed_join(pop, promo_counts(promotion), ["goods_code"], "left", params, hot=True)
     return joined.select(
         F.col("count"),
         F.col("goods_code").alias("goodscode"),

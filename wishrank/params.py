@@ -22,14 +22,10 @@ class Params:
     # Non-parity option: buckets 2-5 also look up parent-category best-sellers
     # through each row's own parent code, as bucket 1 does.
     parent_backfill: bool = False
-    # Broadcast a dimension-like side only when its row count is at most this
-    # and its estimated size (rows x schema width) at most broadcast_bytes.
-    broadcast_rows: int = 2_000_000
-    broadcast_bytes: int = 128 * 1024 * 1024
-    # A join key holding more rows than this on one side is split across tasks.
-    hot_key_rows: int = 5_000_000
-    # Number of pieces a hot key is split into (per side).
-    hot_key_splits: int = 64
+    # Pieces that the rows of one key are dealt into where the key may be hot.
+    salt: int = 8
+    # Compare codes without regard to case (they are lower-cased at ingest).
+    fold_case: bool = False
     # Write stage results to the checkpoint folder between pipeline phases.
     materialize: bool = True
 
@@ -41,6 +37,8 @@ class Params:
             raise ValueError(f"fill_mode must be 'left' or 'inner', got {self.fill_mode!r}")
         if self.importance_order not in ("text", "numeric"):
             raise ValueError("importance_order must be 'text' or 'numeric'")
+        if self.salt < 1:
+            raise ValueError("salt must be positive")
         if self.k < 1 or self.budget < 1 or self.max_items < 1:
             raise ValueError("k, budget and max_items must be positive")
         return self

@@ -1,20 +1,21 @@
 """End-to-end plans: quota lists (E1), flat lists (E2), filled wishlist.
 
 ``Recommender`` holds one run's inputs and parameters and exposes every stage
-as a lazily built DataFrame.  Shared stages (the filled wishlist set,
-per-goods association lists, best-seller lists) are
-materialised once through the ``Stager``; everything else is a plain lazy plan
-for Catalyst.
+as a DataFrame.  Building one runs no job but the writes of the stages it shares
+with others (inputs derived from driver tables, popularity weights, filled wishlist set,
+association and best-seller lists), each once per run; the rest is a lazy plan for
+Catalyst.
 
 Shuffle plan of the quota lists, per phase:
 
-* fill: wishlist distinct (by row), categories distinct (tiny), map broadcast;
+* fill: wishlist distinct (by row), then salted joins to the category map and the
+  goods picks;
 * per-goods association: one join to the per-goods flag table, one
   (goods, item) aggregate, one partial top-k per goods;
 * best-sellers: one window per (code, promotion flag) with a partial top-k;
 * index: one partial top-5 per customer;
-* candidates: join to per-goods lists, to per-code summaries and to the
-  broadcast best-sellers; one (customer, row, item) aggregate; one partial
+* candidates: salted joins to per-goods lists and best-seller lists, a join to
+  per-code summaries; one (customer, row, item) aggregate; one partial
   top-k per (customer, row); one (customer, item) aggregate; one grouped list.
 """
 
@@ -22,12 +23,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import buckets, candidates, checks, fill, flat, lists, promo
 from ..params import DEFAULT, Params
-from ..sources.inputs import Inputs, derive_inputs, normalize
+from ..sources.inputs import CleanInputs, DerivedInputs, Inputs
 from .stages import Stager
 
 
@@ -35,43 +35,29 @@ class Recommender:
     def __init__(
         self,
         spark: SparkSession,
-        inputs: Inputs,
+        inputs: Inputs | DerivedInputs,
         params: Params = DEFAULT,
         stager: Stager | None = None,
     ):
         self.spark = spark
-        # Spark 4.1 may let a Union report its children's hash partitioning;
-        # the candidate union's children are both partitioned by customer, and
-        # with that setting on the per-customer aggregates above it skipped
-        # their shuffle and returned several rows per customer.  Keep it off.
-        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
         self.params = params.check()
         self.stage = stager or Stager(spark, params)
         self.raw = inputs
 
-    @staticmethod
-    def derived_inputs(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> Inputs:
-        """Inputs derived from the driver tables.  They stand in for base tables,
-        so each is kept once computed instead of being re-derived per use."""
-        d = derive_inputs(spark, sf_dir, params)
-        keep = StorageLevel.MEMORY_AND_DISK
-        return Inputs(*(df.persist(keep) for df in (d.wishlist, d.popularity, d.promotion, d.order_assoc, d.rule_log)))
-
     @classmethod
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Recommender":
-        return cls(spark, cls.derived_inputs(spark, sf_dir, params), params)
+        """A run over inputs derived from driver tables (staged with the run's stages)."""
+        stager = Stager(spark, params)
+        return cls(spark, DerivedInputs(spark, sf_dir, params, stager), params, stager)
 
-    def release(self) -> None:
-        """Drop this run's kept inputs from the session cache (a no-op for
-        inputs that were never persisted).  Written stages stay in place."""
-        for df in (self.raw.wishlist, self.raw.popularity, self.raw.promotion,
-                   self.raw.order_assoc, self.raw.rule_log):
-            df.unpersist()
+    def close(self) -> None:
+        """Delete the stages of this run; its frames cannot be read afterwards."""
+        self.stage.close()
 
     # ---------------------------------------------------------------- inputs
     @cached_property
-    def inputs(self) -> Inputs:
-        return normalize(self.raw)
+    def inputs(self) -> CleanInputs:
+        return CleanInputs(self.raw, self.params.fold_case)
 
     # ------------------------------------------------------ promotion
     def promo_flag(self) -> DataFrame:
@@ -80,10 +66,8 @@ class Recommender:
 
     @cached_property
     def weighted(self) -> DataFrame:
-        # One aggregate and one join over the inputs: cheaper to recompute in
-        # the (staged) best-seller and association phases than to write.
         i = self.inputs
-        return promo.weighted_popularity(i.popularity, i.promotion, self.params)
+        return self.stage(promo.weighted_popularity(i.popularity, i.promotion, self.params), "weighted")
 
     @cached_property
     def flags(self) -> DataFrame:
@@ -118,7 +102,7 @@ class Recommender:
     def assoc(self) -> DataFrame:
         i = self.inputs
         rules = candidates.assoc_rules(i.order_assoc, i.rule_log)
-        return candidates.assoc_by_goods(rules, self.flags, self.params)
+        return self.stage(candidates.assoc_by_goods(rules, self.flags, self.params), "assoc")
 
     def assoc_candidates(self) -> DataFrame:
         return candidates.assoc_candidates(self.wishlist_set, self.assoc, self.params)
@@ -157,7 +141,7 @@ class Recommender:
         return buckets.wishlist_index(self.wishlist_set, self.params)
 
     def bucket_candidates_full(self) -> DataFrame:
-        """The reference's per-bucket candidate tables, all buckets together."""
+        """The full candidate tables of all buckets together."""
         return buckets.bucket_candidates(
             self.indexed, self.wishlist_set, self.assoc, self.binding, self.params
         )
@@ -195,6 +179,11 @@ class Recommender:
     def final_lists(self) -> DataFrame:
         return lists.final_lists(self.merge_items(), self.params)
 
+    @cached_property
+    def final(self) -> DataFrame:
+        """The final lists as a written stage, for those who read them more than once."""
+        return self.stage(self.final_lists(), "final")
+
     def recomdcount_histogram(self) -> DataFrame:
         return lists.recomdcount_histogram(self.final_lists())
 

@@ -45,6 +45,14 @@ class Stager:
             self._root = os.path.join(checkpoint_root(self.spark), "wishrank", self.run_id)
         return self._root
 
+    def close(self) -> None:
+        """Delete this run's stages (through Hadoop, wherever the folder lies)."""
+        if self._root is None:
+            return
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._root = None
+
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
@@ -53,4 +61,4 @@ class Stager:
             return df
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

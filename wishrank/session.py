@@ -7,8 +7,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings that matter at any scale: adaptive execution (partition coalescing,
-# skew-join splitting), a broadcast size the size-checked joins stay under,
-# and short plan strings.
+# skew-join splitting, broadcast of sides that turn out small) and short plan strings.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,8 +15,6 @@ RECOMMENDED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.maxPlanStringLength": str(64 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    # Wrong results seen with a Union over same-partitioned children (4.1).
-    "spark.sql.unionOutputPartitioning": "false",
 }
 
 

@@ -1,15 +1,17 @@
 """The five pipeline inputs: wishlist, popularity, promotion, order_assoc, rule_log.
 
-``derive_inputs`` builds them from the driver's TPC-H-like tables the way
+``DerivedInputs`` builds them from the driver's TPC-H-like tables the way
 FIXTURES.md describes (orders play wishlists, parts play goods, brands play
 parent categories).  ``catalog_inputs`` reads real tables of the same shape.
-Both return raw frames; ``normalize`` applies the ingest rules (trim codes,
-drop NULL customers) once, before any stage.
+Both hold raw frames; ``CleanInputs`` applies the ingest rules (trim codes, fold
+their case on request) before any stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,6 +110,9 @@ def derive_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derive_order_assoc(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
+    """Parts bought together.  By definition a pair table: an order with A wished and B
+    partner parts gives A x B pairs, so its size is quadratic in the parts of one order
+    (at most seven here).  Real association tables are read as given."""
     li = tables.lineitem(spark, sf_dir)
     # Pre-aggregate each side per (order, part) before the order self-join:
     # every line of part A pairs with every line of part B, so the pair's
@@ -159,15 +164,31 @@ def derive_rule_log(spark: SparkSession, sf_dir: str, params: Params) -> DataFra
     ).distinct()
 
 
-def derive_inputs(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Inputs:
-    p = params or Params()
-    return Inputs(
-        wishlist=derive_wishlist(spark, sf_dir, p),
-        popularity=derive_popularity(spark, sf_dir, p),
-        promotion=derive_promotion(spark, sf_dir),
-        order_assoc=derive_order_assoc(spark, sf_dir, p),
-        rule_log=derive_rule_log(spark, sf_dir, p),
-    )
+class DerivedInputs:
+    """The five inputs of a folder of driver tables, each derived and staged on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params, stage: Callable[[DataFrame, str], DataFrame]):
+        self._args, self._stage = (spark, sf_dir, params), stage
+
+    @cached_property
+    def wishlist(self) -> DataFrame:
+        return self._stage(derive_wishlist(*self._args), "wishlist")
+
+    @cached_property
+    def popularity(self) -> DataFrame:
+        return self._stage(derive_popularity(*self._args), "popularity")
+
+    @cached_property
+    def promotion(self) -> DataFrame:
+        return self._stage(derive_promotion(*self._args[:2]), "promotion")
+
+    @cached_property
+    def order_assoc(self) -> DataFrame:
+        return self._stage(derive_order_assoc(*self._args), "order_assoc")
+
+    @cached_property
+    def rule_log(self) -> DataFrame:
+        return self._stage(derive_rule_log(*self._args), "rule_log")
 
 
 def catalog_inputs(
@@ -178,7 +199,7 @@ def catalog_inputs(
     order_assoc: str,
     rule_log: str,
 ) -> Inputs:
-    """Inputs from catalog tables (or views) with the reference's column names."""
+    """Inputs from catalog tables or views (``table`` or ``database.table``)."""
     return Inputs(
         wishlist=spark.table(wishlist).select(*WISHLIST_COLS),
         popularity=spark.table(popularity).select(*POPULARITY_COLS),
@@ -188,20 +209,41 @@ def catalog_inputs(
     )
 
 
-def _trim(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
-    # Codes were fixed-width CHAR(30): trailing blanks carry no meaning.
-    return df.select(*[F.rtrim(F.col(c)).alias(c) if c != "count" else F.col(c) for c in cols])
+class CleanInputs:
+    """The inputs with every code right-trimmed (codes were fixed-width CHAR(30), so
+    trailing blanks carry no meaning) and, with ``fold_case``, lower-cased.
+
+    Rows without a customer stay; only the bucket stages leave them out.
+    """
 
+    def __init__(self, raw, fold_case: bool = False):
+        self.raw, self.fold_case = raw, fold_case
 
-def normalize(inputs: Inputs) -> Inputs:
-    """Ingest rules: right-trim every code, drop wishlist rows without a customer.
+    def _clean(self, df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+        def code(name: str):
+            if name in ("count", "node_importance", "importance"):
+                return F.col(name) if name == "count" else F.rtrim(F.col(name)).alias(name)
+            trimmed = F.rtrim(F.col(name))
+            return (F.lower(trimmed) if self.fold_case else trimmed).alias(name)
 
-    Dropped customers are reported by ``coverage_checks`` (``null_customers``).
-    """
-    return Inputs(
-        wishlist=_trim(inputs.wishlist, WISHLIST_COLS).filter(F.col("cust_no").isNotNull()),
-        popularity=_trim(inputs.popularity, POPULARITY_COLS),
-        promotion=_trim(inputs.promotion, PROMOTION_COLS),
-        order_assoc=_trim(inputs.order_assoc, ORDER_ASSOC_COLS),
-        rule_log=_trim(inputs.rule_log, RULE_LOG_COLS),
-    )
+        return df.select(*[code(c) for c in columns])
+
+    @cached_property
+    def wishlist(self) -> DataFrame:
+        return self._clean(self.raw.wishlist, WISHLIST_COLS)
+
+    @cached_property
+    def popularity(self) -> DataFrame:
+        return self._clean(self.raw.popularity, POPULARITY_COLS)
+
+    @cached_property
+    def promotion(self) -> DataFrame:
+        return self._clean(self.raw.promotion, PROMOTION_COLS)
+
+    @cached_property
+    def order_assoc(self) -> DataFrame:
+        return self._clean(self.raw.order_assoc, ORDER_ASSOC_COLS)
+
+    @cached_property
+    def rule_log(self) -> DataFrame:
+        return self._clean(self.raw.rule_log, RULE_LOG_COLS)

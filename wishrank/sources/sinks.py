@@ -1,9 +1,10 @@
-"""Result sinks: the reference's permanent tables, written in overwrite mode.
+"""Result sinks: the four result tables, written in overwrite mode.
 
 ``write_results`` stores the flat candidates, the flat top list, the flat
 result and the quota lists.  With ``database`` set they become catalog
 tables (``saveAsTable``); otherwise Parquet folders under ``path``.
-Overwrite mode replaces the reference's drop-if-exists-then-create.
+Overwrite mode replaces a table that exists; the flat result is then built from
+the flat top list as written, so nothing is computed twice.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 
+from ..operators.flat import flat_result
+
 if TYPE_CHECKING:
     from ..plans.recommend import Recommender
 
@@ -43,11 +46,14 @@ def write_results(
     ``include_candidates=False`` skips the full flat candidate table, which is
     by far the largest (every candidate of every wishlist row).
     """
-    frames = {
-        "flat_topk": rec.flat_topk.select("CustNO", "item", "type"),
-        "flat_result": rec.flat_result(),
-        "final_lists": rec.final_lists(),
-    }
+    put = lambda df, name: _write(df, name, path, database, mode)
+    out = {}
     if include_candidates:
-        frames = {"flat_candidates": rec.flat_candidates().select("CustNO", "item", "type"), **frames}
-    return {name: _write(df, name, path, database, mode) for name, df in frames.items()}
+        out["flat_candidates"] = put(rec.flat_candidates().select("CustNO", "item", "type"), "flat_candidates")
+    topk = rec.flat_topk.select("CustNO", "item", "type")
+    out["flat_topk"] = put(topk, "flat_topk")
+    if mode == "overwrite":  # else the table also holds rows of earlier runs
+        topk = rec.spark.table(out["flat_topk"]) if database else rec.spark.read.parquet(out["flat_topk"])
+    out["flat_result"] = put(flat_result(topk), "flat_result")
+    out["final_lists"] = put(rec.final_lists(), "final_lists")
+    return out
