@@ -37,14 +37,18 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
     are left out; no edges give no rows.  Every round is written to the scratch folder,
     so neither plans nor lineage grow.
     """
-    edges = scratch.write(edges.select("u", "v").filter("u <> v"), "edges")
-    before = None
+    def state(edges: DataFrame):
+        return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
+    edges = scratch.write(down.distinct(), "edges")
+    before = state(edges)
     for _ in range(max_rounds):
         edges = scratch.write(small_star(large_star(edges)), "stars")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        now = state(edges)
+        if now == before:
             break
-        before = state
+        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("v").alias("node")).distinct()

@@ -14,13 +14,12 @@ Steps, each over all rows:
    bucket of any size gives one pair per node.  Pairs whose signatures agree on too few
    places go; the others are verified on their full sets, in blocks per centre.
 4. Components of the links.
-5. Buckets with nodes of several components get stars round other, random centres, for
-   a few rounds; in a large group of copies that are not all similar to each other, these
-   join nearly everything with one pair per node and round.
-6. What stars cannot see: in a bucket that still has several components, nodes outside its
-   largest one meet the others block by block on their signatures, and the pairs that agree
-   are verified as well.  No link between texts that share a bucket is lost; a bucket
-   within one component (the usual case, and the large one) costs nothing.
+5. What stars cannot see: in a bucket whose nodes are in different components, nodes
+   outside its largest component meet the others block by block on their signatures.  At
+   first each is verified with the few that agree most, and components are joined up: in
+   a large group of copies that are not all similar to each other, this leaves one.
+6. The same again with every pair that agrees.  No link between texts that share a bucket
+   is lost; a bucket within one component (the usual case, and the large one) costs nothing.
 7. Components again, and one row per document.
 
 A pair at exactly 0.75 shares no bucket with probability (1 - 0.75^4)^32 = 5e-6, and a
@@ -49,8 +48,8 @@ AGREE = 0.55
 #: Nodes verified against one centre, or compared with each other, in one group.
 BLOCK = 64
 RESIDUE_BLOCK = 512
-#: Rounds of stars round random centres, at most.
-STAR_ROUNDS = 4
+#: Partners that an outside node is first verified with, per bucket and block.
+BEST = 3
 #: Row numbers broadcast to pick out texts (8 bytes each); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -171,22 +170,17 @@ def _mixed(multi: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(placed.join(mixed, "key"), "mixed")
 
 
-def _stars(mixed: DataFrame, seed: int) -> DataFrame:
-    """Pairs of each node with a random centre of its bucket, if of another component."""
-    draw = F.xxhash64("key", "node", F.lit(seed))
-    centre = mixed.groupBy("key").agg(F.min(F.struct(draw.alias("draw"), "node", "component")).alias("c"))
-    met = mixed.join(centre, "key").filter(F.col("component") != F.col("c.component"))
-    return met.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
+def _residue(mixed: DataFrame, nodes: DataFrame, percent: int, best: int | None = None) -> DataFrame:
+    """Pairs across components within a bucket whose signatures agree, once each.
 
-
-def _residue(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components within a bucket whose signatures agree, once each."""
+    With ``best``, only as many pairs of each outside node and block, those that agree most.
+    """
     rows = mixed.join(nodes.select("node", "sig", "n"), "node")
     deal = lambda n: F.ceil(n / RESIDUE_BLOCK)
     minor, whole = deal(F.col("all") - F.col("most")), deal(F.col("all"))
     own = lambda n: F.pmod(F.xxhash64("node"), n)
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    columns = ["key", "node", "component", "sig", "n", (F.col("component") != F.col("major")).alias("outside")]
+    columns = ["key", "node", "component", "sig", "n"]
     left = rows.filter("component <> major").select(*columns, own(minor).alias("i"), each(whole).alias("j"), F.lit(True).alias("lhs"))
     right = rows.select(*columns, own(whole).alias("j"), each(minor).alias("i"), F.lit(False).alias("lhs"))
 
@@ -194,15 +188,20 @@ def _residue(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         x, y = pdf[pdf["lhs"]], pdf[~pdf["lhs"]]
         sx, sy = (np.frombuffer(b"".join(p["sig"]), dtype="<u2").reshape(-1, HASHES).T.copy() for p in (x, y))
         nx, ny = x["node"].to_numpy(), y["node"].to_numpy()
-        # Two outsiders meet twice; sets of too different sizes cannot be similar.
+        # Sets of too different sizes cannot be similar.
         ok = x["component"].to_numpy()[:, None] != y["component"].to_numpy()
-        ok &= ~y["outside"].to_numpy() | (ny > nx[:, None])
         few, many = x["n"].to_numpy()[:, None], y["n"].to_numpy()
         ok &= 100 * np.minimum(few, many) >= percent * np.maximum(few, many)
         agree = np.zeros(ok.shape, dtype=np.uint8)
         for p in range(HASHES):
             agree += sx[p][:, None] == sy[p]
-        i, j = np.nonzero(ok & (agree >= AGREE * HASHES))
+        agree[~ok] = 0
+        if best is not None and agree.shape[1] > best:
+            least = np.partition(agree, -best, axis=1)[:, -best]
+            agree[agree < least[:, None]] = 0
+            # Ties beyond the best few go, the first ones stay.
+            agree[np.cumsum(agree > 0, axis=1) > best] = 0
+        i, j = np.nonzero(agree >= AGREE * HASHES)
         return pd.DataFrame({"a": np.maximum(nx[i], ny[j]), "b": np.minimum(nx[i], ny[j])})
 
     met = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
@@ -245,22 +244,15 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
     multi = multi.select("key", "node")
     links = verify(agreeing(tested))
     labels = components(links, scratch)
-    mixed = _mixed(multi, labels, scratch)
-    for seed in range(STAR_ROUNDS):
+    for best in (BEST, None):
+        mixed = _mixed(multi, labels, scratch)
         if mixed.isEmpty():
             break
-        stars = scratch.write(_stars(mixed, seed).join(tested, ["a", "b"], "left_anti"), "stars")
-        more = verify(agreeing(stars))
-        tested = tested.unionByName(stars)
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        labels = components(links, scratch)
-        mixed = _mixed(multi, labels, scratch)
-    if not mixed.isEmpty():
-        more = verify(_residue(mixed, nodes, percent).join(tested, ["a", "b"], "left_anti"))
+        pairs = scratch.write(_residue(mixed, nodes, percent, best).join(tested, ["a", "b"], "left_anti"), "residue")
+        more = verify(pairs)
         if not more.isEmpty():
-            labels = components(links.unionByName(more), scratch)
+            links, tested = links.unionByName(more), tested.unionByName(pairs)
+            labels = components(links, scratch)
 
     grouped = nodes.join(labels, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("component"))
     smallest = grouped.groupBy("component").agg(F.min("first").alias("keep"))
