@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import ann, embed_dedup, license_scan, line_dedup, minhash, packing, piece_codec, sharding, token_counts, toxicity
 from .common import table, tokenizer_path
+from .oracles import ORACLES as ORACLES
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BPE_RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
@@ -111,5 +112,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLES: dict[str, str] = {}
