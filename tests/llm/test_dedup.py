@@ -73,8 +73,10 @@ def test_minhash_nothing(no_docs):
     assert minhash.drop_near_duplicates(no_docs).collect() == []
 
 
-def test_minhash_near_the_threshold_and_chains(spark):
+@pytest.mark.parametrize("large", [1, 64])
+def test_minhash_near_the_threshold_and_chains(spark, monkeypatch, large):
     """Documents that drift apart step by step, and pairs around the threshold."""
+    monkeypatch.setattr(minhash, "LARGE", large)
     rng = random.Random(11)
     rows = []
     text = words(rng, 200)
@@ -96,14 +98,22 @@ def test_residue_meets_every_pair_across_components(spark, monkeypatch):
     """Nodes of one bucket in different components meet, over several blocks, once each."""
     monkeypatch.setattr(minhash, "RESIDUE_BLOCK", 2)
     family = minhash.hash_family(minhash.HASHES)
-    sig = bytearray(minhash.signature(minhash.shingles(" ".join(words(random.Random(1), 50))), family).tobytes())
-    nodes = spark.createDataFrame([(k, sig, 50) for k in range(9)], "node long, sig binary, n long")
-    multi = spark.createDataFrame([(7, k) for k in range(9)], "key long, node long")
+    text = " ".join(words(random.Random(1), 50))
+    sig = bytearray(minhash.signature(minhash.shingles(text), family).tobytes())
+    nodes = spark.createDataFrame([(k, sig, 46, 100 + k) for k in range(9)], "node long, sig binary, n long, rid long")
+    multi = spark.createDataFrame([(key, key - 7, k) for k in range(9) for key in (7, 8)], "key long, band int, node long")
     labels = spark.createDataFrame([(k, 0 if k < 5 else 5 if k < 7 else k) for k in range(9)], "node long, component long")
     mixed = minhash._mixed(multi, labels, Scratch(spark, "test"))
-    got = Counter((r.a, r.b) for r in minhash._residue(mixed, nodes, 75).collect())
+    got = Counter((r.a, r.b) for r in minhash._agreeing_pairs(mixed, nodes, 75).collect())
     of = {r.node: r.component for r in labels.collect()}
     assert got == Counter((a, b) for a in range(9) for b in range(a) if of[a] != of[b])
+    few = minhash._agreeing_pairs(mixed, nodes, 75, best=1).collect()
+    assert {x for r in few for x in (r.a, r.b)} >= {5, 6, 7, 8} and len(few) < len(got)
+    # In place: the same pairs as links, as a forest, each in its first bucket.
+    texts = spark.createDataFrame([(100 + k, text) for k in range(9)], "rid long, text string")
+    links = minhash._links_in_place(mixed, texts, nodes, 5, 75).collect()
+    joined = roots(9, [(r.u, r.v) for r in links] + [(k, c) for k, c in of.items()])
+    assert joined == [0] * 9
 
 
 @pytest.mark.parametrize("bound", [0, 10**6])

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from wishrank.llm import ann, embed_dedup
+from wishrank.llm.components import forest
 
 SCHEMA = "vec_id long, embedding array<float>, label int, strip string, node long"
 
@@ -92,9 +93,9 @@ def test_forest():
     rng = random.Random(3)
     i = np.array([rng.randrange(100) for _ in range(60)])
     j = np.array([rng.randrange(100) for _ in range(60)])
-    root = embed_dedup.forest(100, i, j)
+    root = forest(100, i, j)
     assert (root[i] == root[j]).all() and (root <= np.arange(100)).all() and (root[root] == root).all()
-    assert (embed_dedup.forest(3, np.array([], dtype=int), np.array([], dtype=int)) == np.arange(3)).all()
+    assert (forest(3, np.array([], dtype=int), np.array([], dtype=int)) == np.arange(3)).all()
 
 
 SMALL = ann.Settings(branch=4, leaf_rows=8, sample_rows=200, trial_queries=40, block_rows=50, block_queries=7)

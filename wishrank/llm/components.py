@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,17 @@ def components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> Data
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Per place 0..n-1 the smallest place it is connected to by the pairs (i, j)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .components import components
+from .components import components, forest
 from .vectors import matrix, unit, usable
 
 LINES = 48
@@ -90,20 +90,6 @@ def linked(x: np.ndarray, y: np.ndarray, same: bool, threshold: float, need: int
     return np.concatenate(left), np.concatenate(right)
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Per place 0..n-1 the smallest place it is connected to by the pairs (i, j)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _strips(nodes: DataFrame, threshold: float) -> DataFrame:
     wide = STRIP * math.sqrt(2 - 2 * threshold)
 

@@ -18,8 +18,9 @@ Steps, each over all rows:
    outside its largest component meet the others block by block on their signatures.  At
    first each is verified with the few that agree most, and components are joined up: in
    a large group of copies that are not all similar to each other, this leaves one.
-6. The same again with every pair that agrees.  No link between texts that share a bucket
-   is lost; a bucket within one component (the usual case, and the large one) costs nothing.
+6. The same again with every pair that agrees; in large buckets these are verified on full
+   sets where they meet, so they never become rows.  No link between texts that share a
+   bucket is lost; a bucket within one component (the usual case) costs nothing.
 7. Components again, and one row per document.
 
 A pair at exactly 0.75 shares no bucket with probability (1 - 0.75^4)^32 = 5e-6, and a
@@ -29,6 +30,7 @@ linked pair agrees on fewer places than step 3 asks with probability 1e-7.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
-from .components import components
+from .components import components, forest
 
 ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
@@ -48,6 +50,8 @@ AGREE = 0.55
 #: Nodes verified against one centre, or compared with each other, in one group.
 BLOCK = 64
 RESIDUE_BLOCK = 512
+#: Buckets of more nodes are verified in place, smaller ones pair by pair.
+LARGE = 64
 #: Partners that an outside node is first verified with, per bucket and block.
 BEST = 3
 #: Row numbers broadcast to pick out texts (8 bytes each); beyond it the join shuffles.
@@ -159,8 +163,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, pe
 
 
 def _mixed(multi: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, node, component, major, most, all): buckets with nodes of several components."""
-    placed = multi.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    """(key, band, node, component, major, most, all): buckets with nodes of several components."""
+    placed = multi.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = (
         counts.groupBy("key")
@@ -170,42 +174,132 @@ def _mixed(multi: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(placed.join(mixed, "key"), "mixed")
 
 
-def _residue(mixed: DataFrame, nodes: DataFrame, percent: int, best: int | None = None) -> DataFrame:
-    """Pairs across components within a bucket whose signatures agree, once each.
-
-    With ``best``, only as many pairs of each outside node and block, those that agree most.
-    """
-    rows = mixed.join(nodes.select("node", "sig", "n"), "node")
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of mixed buckets as units (key, i, j): blocks of nodes outside the largest
+    component (lhs) with blocks of all nodes."""
     deal = lambda n: F.ceil(n / RESIDUE_BLOCK)
     minor, whole = deal(F.col("all") - F.col("most")), deal(F.col("all"))
     own = lambda n: F.pmod(F.xxhash64("node"), n)
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    columns = ["key", "node", "component", "sig", "n"]
-    left = rows.filter("component <> major").select(*columns, own(minor).alias("i"), each(whole).alias("j"), F.lit(True).alias("lhs"))
-    right = rows.select(*columns, own(whole).alias("j"), each(minor).alias("i"), F.lit(False).alias("lhs"))
+    columns = [F.col(c) for c in rows.columns if c not in ("major", "most", "all")]
+    left = rows.filter("component <> major").select(own(minor).alias("i"), each(whole).alias("j"), F.lit(True).alias("lhs"), *columns)
+    right = rows.select(own(whole).alias("j"), each(minor).alias("i"), F.lit(False).alias("lhs"), *columns)
+    return left.unionByName(right)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["lhs"]], pdf[~pdf["lhs"]]
-        sx, sy = (np.frombuffer(b"".join(p["sig"]), dtype="<u2").reshape(-1, HASHES).T.copy() for p in (x, y))
-        nx, ny = x["node"].to_numpy(), y["node"].to_numpy()
+
+def _agreeing_pairs(mixed: DataFrame, nodes: DataFrame, percent: int, best: int | None = None) -> DataFrame:
+    """Pairs (a, b) across components within a bucket whose signatures agree, once each.
+
+    With ``best``, only as many pairs of each outside node and unit, those that agree most.
+    """
+
+    def pairs(rows: dict[str, np.ndarray], stops: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of the units that end at ``stops``."""
+        x, y, held = [], [], 0
+        for lo, hi in zip([0, *stops[:-1].tolist()], stops.tolist()):
+            lhs = rows["lhs"][lo:hi]
+            left, right = lo + np.flatnonzero(lhs), lo + np.flatnonzero(~lhs)
+            x.append(np.repeat(left, len(right)))
+            y.append(np.tile(right, len(left)))
+            held += len(x[-1])
+            if held >= 1 << 16 or hi == stops[-1]:
+                yield near(rows, np.concatenate(x), np.concatenate(y))
+                x, y, held = [], [], 0
+
+    def near(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        n, sig = rows["n"], rows["sig"]
         # Sets of too different sizes cannot be similar.
+        ok = (rows["component"][x] != rows["component"][y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        x, y = x[ok], y[ok]
+        agree = np.concatenate([(sig[x[k : k + 8192]] == sig[y[k : k + 8192]]).sum(axis=1) for k in range(0, max(1, len(x)), 8192)])
+        ok = agree >= AGREE * HASHES
+        x, y, agree = x[ok], y[ok], agree[ok]
+        if best is not None and len(x):
+            order = np.lexsort((-agree, x))
+            x, y = x[order], y[order]
+            first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+            x, y = x[rank < best], y[rank < best]
+        a, b = rows["node"][x], rows["node"][y]
+        return pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Units arrive one after the other; the last of a batch may go on in the next."""
+        rest: list[pa.RecordBatch] = []
+        for batch in itertools.chain(batches, [None]):
+            rest += [batch] if batch is not None and batch.num_rows else []
+            if not rest:
+                continue
+            table = pa.Table.from_batches(rest)
+            rows = {c: table[c].to_numpy() for c in ("key", "i", "j", "lhs", "node", "component", "n")}
+            change = np.flatnonzero(np.any([rows[c][1:] != rows[c][:-1] for c in ("key", "i", "j")], axis=0)) + 1
+            stops = np.r_[change, table.num_rows] if batch is None else change
+            if len(stops):
+                rows["sig"] = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype="<u2").reshape(-1, HASHES)
+                yield from pairs(rows, stops)
+                rest = table.slice(int(stops[-1])).combine_chunks().to_batches()
+
+    rows = mixed.drop("band").join(nodes.select("node", "sig", "n"), "node")
+    units = _dealt(rows).select("key", "i", "j", "lhs", "node", "component", "n", "sig")
+    sorted_units = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return sorted_units.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links_in_place(mixed: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) across components within large buckets, verified on the full sets.
+
+    Texts travel with the buckets' blocks and pairs never become rows.  A pair is looked
+    at in the first bucket it shares; a unit returns a spanning forest of its links.
+    """
+    placed = mixed.join(nodes.select("node", "sig", "n", "rid"), "node")
+    small = placed.count() <= BROADCAST_ROWS // 16  # signatures travel along
+    rows = texts.join(F.broadcast(placed) if small else placed, "rid").drop("rid")
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"u": np.zeros(0, dtype=np.int64), "v": np.zeros(0, dtype=np.int64)})
+        x, y = pdf[pdf["lhs"]].reset_index(drop=True), pdf[~pdf["lhs"]].reset_index(drop=True)
+        if not len(x) or not len(y):
+            return none
+        sx, sy = (np.frombuffer(b"".join(p["sig"]), dtype="<u2").reshape(-1, HASHES).T.copy() for p in (x, y))
+        nx, ny = x["n"].to_numpy()[:, None], y["n"].to_numpy()
         ok = x["component"].to_numpy()[:, None] != y["component"].to_numpy()
-        few, many = x["n"].to_numpy()[:, None], y["n"].to_numpy()
-        ok &= 100 * np.minimum(few, many) >= percent * np.maximum(few, many)
-        agree = np.zeros(ok.shape, dtype=np.uint8)
-        for p in range(HASHES):
-            agree += sx[p][:, None] == sy[p]
-        agree[~ok] = 0
-        if best is not None and agree.shape[1] > best:
-            least = np.partition(agree, -best, axis=1)[:, -best]
-            agree[agree < least[:, None]] = 0
-            # Ties beyond the best few go, the first ones stay.
-            agree[np.cumsum(agree > 0, axis=1) > best] = 0
-        i, j = np.nonzero(agree >= AGREE * HASHES)
-        return pd.DataFrame({"a": np.maximum(nx[i], ny[j]), "b": np.minimum(nx[i], ny[j])})
-
-    met = left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-    return met.distinct()
+        ok &= 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
+        agree, before = np.zeros(ok.shape, dtype=np.uint8), np.zeros(ok.shape, dtype=bool)
+        for band in range(BANDS):
+            whole = np.ones(ok.shape, dtype=bool)
+            for p in range(band * ROWS, (band + 1) * ROWS):
+                same = sx[p][:, None] == sy[p]
+                agree += same
+                whole &= same
+            if band < x["band"][0]:
+                before |= whole
+        ok &= ~before & (agree >= AGREE * HASHES)
+        used_x, used_y = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+        if not len(used_x):
+            return none
+        sets = [shingles(t, width) for t in [*x["text"][used_x], *y["text"][used_y]]]
+        # Shingles of both sides as columns; a product counts the common ones.
+        names, at = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), [len(f) for f in sets])
+        left = row < len(used_x)
+        both = np.intersect1d(at[left], at[~left])
+        column = np.full(len(names), -1)
+        column[both] = np.arange(len(both))
+        common = np.zeros((len(used_x), len(used_y)), dtype=np.float32)
+        for lo in range(0, len(both), 8192):
+            cells = np.zeros((len(sets), min(8192, len(both) - lo)), dtype=np.float32)
+            c = column[at]
+            inside = (c >= lo) & (c < lo + cells.shape[1])
+            cells[row[inside], c[inside] - lo] = 1
+            common += cells[: len(used_x)] @ cells[len(used_x) :].T
+        union = nx[used_x] + ny[used_y] - common
+        i, j = np.nonzero(ok[np.ix_(used_x, used_y)] & (100 * common >= percent * union))
+        ids = np.concatenate([x["node"].to_numpy()[used_x], y["node"].to_numpy()[used_y]])
+        root = forest(len(ids), i, j + len(used_x))
+        moved = np.flatnonzero(root != np.arange(len(ids)))
+        return pd.DataFrame({"u": ids[moved], "v": ids[root[moved]]})
+
+    return _dealt(rows).groupBy("key", "i", "j").applyInPandas(compare, "u long, v long")
 
 
 def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
@@ -232,8 +326,8 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
     )
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
-    banded = nodes.select("node", F.explode(band).alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    banded = nodes.select("node", F.posexplode(band).alias("band", "key"))
+    buckets = banded.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
     multi = scratch.write(banded.join(buckets, "key"), "buckets")
 
     side = lambda k: nodes.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}"))
@@ -241,15 +335,20 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
     verify = lambda pairs: _verify(pairs, texts, nodes, width, percent, scratch)
 
     tested = scratch.write(multi.filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), "stars")
-    multi = multi.select("key", "node")
+    multi = multi.select("key", "band", "node", F.col("n").alias("size"))
     links = verify(agreeing(tested))
     labels = components(links, scratch)
     for best in (BEST, None):
         mixed = _mixed(multi, labels, scratch)
         if mixed.isEmpty():
             break
-        pairs = scratch.write(_residue(mixed, nodes, percent, best).join(tested, ["a", "b"], "left_anti"), "residue")
+        small = mixed if best else mixed.filter(F.col("size") <= LARGE)
+        pairs = _agreeing_pairs(small.drop("size"), nodes, percent, best).join(tested, ["a", "b"], "left_anti")
+        pairs = scratch.write(pairs, "residue")
         more = verify(pairs)
+        if not best:
+            large = mixed.filter(F.col("size") > LARGE).drop("size")
+            more = more.unionByName(scratch.write(_links_in_place(large, texts, nodes, width, percent), "links"))
         if not more.isEmpty():
             links, tested = links.unionByName(more), tested.unionByName(pairs)
             labels = components(links, scratch)
