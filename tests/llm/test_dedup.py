@@ -100,7 +100,7 @@ def test_residue_meets_every_pair_across_components(spark, monkeypatch):
     family = minhash.hash_family(minhash.HASHES)
     text = " ".join(words(random.Random(1), 50))
     sig = bytearray(minhash.signature(minhash.shingles(text), family).tobytes())
-    nodes = spark.createDataFrame([(k, sig, 46, 100 + k) for k in range(9)], "node long, sig binary, n long, rid long")
+    nodes = spark.createDataFrame([(k, sig, 46) for k in range(9)], "node long, sig binary, n long")
     multi = spark.createDataFrame([(key, key - 7, k) for k in range(9) for key in (7, 8)], "key long, band int, node long")
     labels = spark.createDataFrame([(k, 0 if k < 5 else 5 if k < 7 else k) for k in range(9)], "node long, component long")
     mixed = minhash._mixed(multi, labels, Scratch(spark, "test"))
@@ -110,7 +110,7 @@ def test_residue_meets_every_pair_across_components(spark, monkeypatch):
     few = minhash._agreeing_pairs(mixed, nodes, 75, best=1).collect()
     assert {x for r in few for x in (r.a, r.b)} >= {5, 6, 7, 8} and len(few) < len(got)
     # In place: the same pairs as links, as a forest, each in its first bucket.
-    texts = spark.createDataFrame([(100 + k, text) for k in range(9)], "rid long, text string")
+    texts = spark.createDataFrame([(k, text) for k in range(9)], "rid long, text string")
     links = minhash._links_in_place(mixed, texts, nodes, 5, 75).collect()
     joined = roots(9, [(r.u, r.v) for r in links] + [(k, c) for k, c in of.items()])
     assert joined == [0] * 9

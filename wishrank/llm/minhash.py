@@ -8,7 +8,7 @@ Steps, each over all rows:
 
 1. One pass sketches whole texts: ``BANDS`` x ``ROWS`` universal hash minima (16 bits of
    each are kept) and a 128-bit digest of the set.  The input and the sketches are written.
-2. Nodes: one row per digest.  Every band of a signature is a bucket key; buckets are
+2. Nodes: one row per digest, named by its first row.  Every band of a signature is a bucket key; buckets are
    counted by a partial aggregate and those with one node go.
 3. Stars: each node of a bucket is compared with the bucket's smallest node only, so a
    bucket of any size gives one pair per node.  Pairs whose signatures agree on too few
@@ -132,25 +132,23 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough.
+def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are similar enough, as links (u, v).
 
     The pairs of one ``b`` are dealt into blocks of about ``BLOCK``; a block holds the
-    text of ``b`` once.  ``texts`` is (rid, text), ``nodes`` has node and rid.
+    text of ``b`` once.  ``pairs`` is a written table, ``texts`` is (rid, text).
     """
-    pairs = scratch.write(pairs, "pairs")
     size = pairs.groupBy("b").agg(F.count("*").alias("n"))
     dealt = pairs.join(size, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / BLOCK)).alias("block"))
-    wanted = dealt.select(F.col("a").alias("node"), "b", "block").unionByName(
-        dealt.select(F.col("b").alias("node"), "b", "block").distinct()
+    wanted = dealt.select(F.col("a").alias("rid"), "b", "block").unionByName(
+        dealt.select(F.col("b").alias("rid"), "b", "block").distinct()
     )
-    wanted = scratch.write(wanted.join(nodes.select("node", "rid"), "node"), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
-    found = texts.join(F.broadcast(wanted) if few else wanted, "rid").select("b", "block", "node", "text")
+    few = 2 * pairs.count() <= BROADCAST_ROWS  # at most two rows per pair
+    found = texts.join(F.broadcast(wanted) if few else wanted, "rid").select("b", "block", "rid", "text")
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         centre = key[0]
-        sets = {n: shingles(t, width) for n, t in zip(pdf["node"], pdf["text"])}
+        sets = {n: shingles(t, width) for n, t in zip(pdf["rid"], pdf["text"])}
         own, linked = sets[centre], []
         for n, other in sets.items():
             if n != centre:
@@ -251,9 +249,9 @@ def _links_in_place(mixed: DataFrame, texts: DataFrame, nodes: DataFrame, width:
     Texts travel with the buckets' blocks and pairs never become rows.  A pair is looked
     at in the first bucket it shares; a unit returns a spanning forest of its links.
     """
-    placed = mixed.join(nodes.select("node", "sig", "n", "rid"), "node")
-    small = placed.count() <= BROADCAST_ROWS // 16  # signatures travel along
-    rows = texts.join(F.broadcast(placed) if small else placed, "rid").drop("rid")
+    placed = mixed.join(nodes.select("node", "sig", "n"), "node")
+    few = mixed.count() <= BROADCAST_ROWS // 16  # signatures travel along
+    rows = texts.withColumnRenamed("rid", "node").join(F.broadcast(placed) if few else placed, "node")
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"u": np.zeros(0, dtype=np.int64), "v": np.zeros(0, dtype=np.int64)})
@@ -322,7 +320,7 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
 
     sets = sketched.filter("n > 0").join(ids, "rid").groupBy("digest").agg(F.min("first").alias("first"), F.min("sig").alias("sig"), F.min("n").alias("n"))
     nodes = scratch.write(
-        sets.select(F.monotonically_increasing_id().alias("node"), "digest", "first", "sig", "n", F.col("first.rid").alias("rid")), "nodes"
+        sets.select(F.col("first.rid").alias("node"), "digest", "first", "sig", "n"), "nodes"
     )
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
@@ -332,26 +330,23 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
 
     side = lambda k: nodes.select(F.col("node").alias(k), F.col("sig").alias(f"sig_{k}"))
     agreeing = lambda pairs: _agreeing(pairs.join(side("a"), "a").join(side("b"), "b"))
-    verify = lambda pairs: _verify(pairs, texts, nodes, width, percent, scratch)
+    verify = lambda pairs: _verify(scratch.write(pairs, "pairs"), texts, width, percent, scratch)
 
-    tested = scratch.write(multi.filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), "stars")
+    stars = multi.filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    labels = components(verify(agreeing(stars)), scratch)
     multi = multi.select("key", "band", "node", F.col("n").alias("size"))
-    links = verify(agreeing(tested))
-    labels = components(links, scratch)
     for best in (BEST, None):
         mixed = _mixed(multi, labels, scratch)
         if mixed.isEmpty():
             break
         small = mixed if best else mixed.filter(F.col("size") <= LARGE)
-        pairs = _agreeing_pairs(small.drop("size"), nodes, percent, best).join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.write(pairs, "residue")
-        more = verify(pairs)
+        more = verify(_agreeing_pairs(small.drop("size"), nodes, percent, best))
         if not best:
             large = mixed.filter(F.col("size") > LARGE).drop("size")
             more = more.unionByName(scratch.write(_links_in_place(large, texts, nodes, width, percent), "links"))
-        if not more.isEmpty():
-            links, tested = links.unionByName(more), tested.unionByName(pairs)
-            labels = components(links, scratch)
+        if not more.isEmpty():  # what is known already is a star per component
+            known = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            labels = components(known.unionByName(more), scratch)
 
     grouped = nodes.join(labels, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("component"))
     smallest = grouped.groupBy("component").agg(F.min("first").alias("keep"))
