@@ -55,7 +55,7 @@ def brute_groups(rows) -> Counter:
 
 def check_groups(spark, rows):
     got = minhash.group_documents(documents(spark, rows)).collect()
-    assert Counter((r.row.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows)
     return got
 
 
@@ -119,7 +119,9 @@ def test_residue_meets_every_pair_across_components(spark, monkeypatch):
 @pytest.mark.parametrize("bound", [0, 10**6])
 def test_minhash_without_broadcast(spark, monkeypatch, bound):
     monkeypatch.setattr(minhash, "BROADCAST_ROWS", bound)
-    check_groups(spark, corpus(seed=9, n=25))
+    got = check_groups(spark, corpus(seed=9, n=25))
+    kept = minhash.drop_near_duplicates(documents(spark, corpus(seed=9, n=25)))
+    assert kept.count() == len({r.keep_rid for r in got})
 
 
 def test_components(spark):

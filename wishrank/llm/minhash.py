@@ -104,21 +104,22 @@ def signature(found: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.nd
 
 
 def sketch(texts: DataFrame, width: int) -> DataFrame:
-    """(rid, text) to rid, n (set size), digest and signature (null for empty sets)."""
+    """(rid, doc_id, text) to rid, doc_id, n (set size), digest and signature (null for
+    empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(HASHES)
         for batch in slices(batches):
             n, digest, sig = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 found = shingles(text, width)
                 n.append(len(found))
                 digest.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 sig.append(signature(found, family).tobytes() if len(found) else None)
-            columns = [batch.column(0), pa.array(n, type=pa.int64()), pa.array(digest, type=pa.binary()), pa.array(sig, type=pa.binary())]
-            yield pa.record_batch(columns, names=["rid", "n", "digest", "sig"])
+            new = [pa.array(n, type=pa.int64()), pa.array(digest, type=pa.binary()), pa.array(sig, type=pa.binary())]
+            yield pa.record_batch([batch.column(0), batch.column(1), *new], names=["rid", "doc_id", "n", "digest", "sig"])
 
-    return texts.mapInArrow(run, "rid long, n long, digest binary, sig binary")
+    return texts.mapInArrow(run, "rid long, doc_id long, n long, digest binary, sig binary")
 
 
 def _agreeing(pairs: DataFrame) -> DataFrame:
@@ -300,28 +301,23 @@ def _links_in_place(mixed: DataFrame, texts: DataFrame, nodes: DataFrame, width:
     return _dealt(rows).groupBy("key", "i", "j").applyInPandas(compare, "u long, v long")
 
 
-def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
-    """Per row of ``docs`` (struct column ``row``): rid, n_shingles, component_id, keep_rid.
-
-    ``docs`` needs doc_id; component_id is the smallest doc_id of the row's group and
-    keep_rid the row that stays (the first of that id).  Texts without words (null,
-    empty, white space) are alone in their group.  Null ids take part: they are after all
-    others, so a group without any id has a null component_id.  Repeated rows are copies
-    of each other.  The columns of ``docs`` stay inside ``row``, so no name can clash.
-    """
-    scratch = scratch or Scratch(docs.sparkSession, "minhash")
+def _input(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` as a written table of (rid, row), so that row numbers stay."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    base = scratch.write(docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row")), "input")
-    texts = base.select("rid", F.col(f"row.`{text}`").cast("string").alias("text"))
+    return scratch.write(docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row")), "input")
+
+
+def _groups(base: DataFrame, text: str, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(rid, doc_id, n_shingles, component_id, keep_rid) of every row of ``base``."""
+    doc_id = F.col("row.doc_id").cast("long").alias("doc_id")
+    texts = base.select("rid", doc_id, F.col(f"row.`{text}`").cast("string").alias("text"))
     sketched = scratch.write(sketch(texts, width), "sketch")
-    doc_id = F.col("row.doc_id").cast("long")
-    order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), F.col("rid").alias("rid"))
-    ids = base.select("rid", order.alias("first"))
+    texts = texts.drop("doc_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
 
-    sets = sketched.filter("n > 0").join(ids, "rid").groupBy("digest").agg(F.min("first").alias("first"), F.min("sig").alias("sig"), F.min("n").alias("n"))
-    nodes = scratch.write(
-        sets.select(F.col("first.rid").alias("node"), "digest", "first", "sig", "n"), "nodes"
-    )
+    filled = sketched.filter("n > 0").withColumn("first", order)
+    sets = filled.groupBy("digest").agg(F.min("first").alias("first"), F.min("sig").alias("sig"), F.min("n").alias("n"))
+    nodes = scratch.write(sets.select(F.col("first.rid").alias("node"), "digest", "first", "sig", "n"), "nodes")
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))))
     banded = nodes.select("node", F.posexplode(band).alias("band", "key"))
@@ -353,13 +349,36 @@ def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent
     chosen = grouped.join(smallest, "component").select("digest", "keep")
     keep = F.coalesce("keep", "first")
     return (
-        base.join(sketched.select("rid", F.col("n").alias("n_shingles"), "digest"), "rid")
+        sketched.select("rid", "doc_id", F.col("n").alias("n_shingles"), "digest")
         .join(chosen, "digest", "left")
         .withColumn("first", order)
-        .select("row", "rid", "n_shingles", keep["doc_id"].alias("component_id"), keep["rid"].alias("keep_rid"))
+        .select("rid", "doc_id", "n_shingles", keep["doc_id"].alias("component_id"), keep["rid"].alias("keep_rid"))
     )
 
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """One row of each group of near duplicates, with the columns of ``docs``."""
-    return group_documents(docs, width=width, percent=percent).filter("rid = keep_rid").select("row.*")
+def group_documents(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, rid, keep_rid.
+
+    component_id is the smallest doc_id of the row's group, rid numbers the rows and
+    keep_rid is the row that stays (the first of that id).  Texts without words (null,
+    empty, white space) are alone in their group.  Null ids take part: they are after all
+    others, so a group without any id has a null component_id.  Repeated rows are copies
+    of each other.  Other columns of ``docs`` are ignored, whatever their names; an empty
+    table gives no rows.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "minhash")
+    base = _input(docs.select("doc_id", F.col(f"`{text}`")), scratch)
+    return _groups(base, text, width, percent, scratch).select("doc_id", "n_shingles", "component_id", "rid", "keep_rid")
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 75, scratch: Scratch | None = None) -> DataFrame:
+    """One row of each group of near duplicates, with the columns of ``docs``.
+
+    The row numbers that go are taken out of the written input; up to ``BROADCAST_ROWS``
+    of them are broadcast, so that texts are not shuffled.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "minhash")
+    base = _input(docs, scratch)
+    gone = scratch.write(_groups(base, text, width, percent, scratch).filter("rid <> keep_rid").select("rid"), "gone")
+    few = gone.count() <= BROADCAST_ROWS
+    return base.join(F.broadcast(gone) if few else gone, "rid", "left_anti").select("row.*")

@@ -20,14 +20,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    doc_id = F.col("row.doc_id").cast("long")
-    return minhash.group_documents(docs).select(
-        doc_id.alias("doc_id"),
-        "n_shingles",
-        "component_id",
-        doc_id.eqNullSafe(F.col("component_id")).alias("kept"),
-    )
+    groups = minhash.group_documents(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return groups.select("doc_id", "n_shingles", "component_id", kept)
 
 
 def op3_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
