@@ -48,7 +48,7 @@ class Settings:
     l2: float = 0.0
     rounds: int = 6
     max_rows: int = 40_000  # labelled rows that the model is fitted on, at most
-    shard_rows: int = 10_000
+    shard_rows: int = 5_000
 
 
 @dataclass(frozen=True)
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
             z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
             z[at], n[at] = z0, n0
             pdf = pdf.sort_values("doc_id", key=lambda c: (c * 2654435761) % 4294967291)
-            fit_shard([np.asarray(a, dtype=np.int64) for a in pdf["at"]], pdf["y"].to_numpy(), z, n, s)
+            fit_shard(pdf["at"].tolist(), pdf["y"].to_numpy(), z, n, s)
             before_z, before_n = np.zeros(len(z)), np.zeros(len(n))
             before_z[at], before_n[at] = z0, n0
             # Coordinates that hardly moved in this shard are noise;
