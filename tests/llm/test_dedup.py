@@ -208,3 +208,52 @@ def test_line_dedup_separator(spark):
     rows = [(1, "a b c. d e f. x"), (2, "q. a b c. d e f. y")]
     got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows), min_words=6, separator=". ").collect()}
     assert got == {1: "a b c. d e f. x", 2: "q. y"}
+
+
+def sentence_corpus(seed: int, blank: float = 0.2) -> list[tuple[int, list[list[str]]]]:
+    """(doc_id, lines), a line as its sentences and the spaces between them, in turn."""
+    rng = random.Random(seed)
+    pool = [" ".join(words(rng, rng.randrange(1, 7))) + rng.choice([".", "!", "?", '."', ".)"]) for _ in range(25)]
+    rows = []
+    for k in range(40):
+        units = [rng.choice(pool) if rng.random() < 0.7 else " ".join(words(rng, 4)) + "." for _ in range(rng.randrange(1, 14))]
+        if k >= 30:  # a stretch of an earlier document, its lines broken elsewhere
+            units += [u for line in rows[k - 30][1] for u in line[::2] if u][1:]
+        lines: list[list[str]] = [[]]
+        for u in units:
+            if rng.random() < 0.25:
+                lines += [[], [""]] * (rng.random() < blank) + [[]]
+            lines[-1] += [rng.choice([" ", "  ", "\t"])] * bool(lines[-1]) + [u]
+        rows.append((k, [line or [""] for line in lines]))
+    return rows
+
+
+@pytest.mark.parametrize("seed,min_words", [(1, 10), (2, 5), (3, 16), (4, 1)])
+def test_line_dedup_inside_lines(spark, seed, min_words):
+    """Passages that start and end inside lines are found, and all else stays as it was."""
+    rows = sentence_corpus(seed, 0.2 if min_words > 1 else 0)
+    gone = brute_lines([(i, "\n".join(u for line in lines for u in line[::2])) for i, lines in rows], min_words)
+    texts = [(i, "\n".join("".join(line) for line in lines)) for i, lines in rows]
+    got = {r.row.doc_id: r for r in line_dedup.dedup_lines(documents(spark, texts), min_words=min_words).collect()}
+    partly = 0
+    for k, (i, lines) in enumerate(rows):
+        at, left = 0, []
+        for line in lines:
+            own = [at + n not in gone[k] for n in range(len(line[::2]))]
+            at += len(own)
+            partly += any(own) and not all(own)
+            if any(own):
+                kept = [x for n, s in enumerate(own) if s for x in line[2 * n : 2 * n + 2]]
+                left.append("".join(kept if own[-1] else kept[:-1]))
+        assert got[i].text == "\n".join(left), i
+        assert (got[i].n_lines, got[i].n_deleted, got[i].n_units_deleted) == (len(lines), len(lines) - len(left), len(gone[k])), i
+    assert partly
+
+
+def test_line_dedup_passage_of_long_lines(spark):
+    rng = random.Random(5)
+    some = lambda: " ".join(words(rng, 9)).capitalize() + "."
+    shared = [some() for _ in range(6)]
+    rows = [(1, " ".join([some(), *shared, some()])), (2, f"{some()}\nx y. {' '.join(shared[:3])}\n{' '.join(shared[3:])}  Z.")]
+    got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: rows[1][1].split("\n")[0] + "\nx y.\nZ."}

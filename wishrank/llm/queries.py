@@ -65,6 +65,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").cast("long").alias("doc_id"),
         "n_lines",
         "n_deleted",
+        "n_units_deleted",
         F.octet_length(text).cast("long").alias("kept_bytes"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
