@@ -257,3 +257,12 @@ def test_line_dedup_passage_of_long_lines(spark):
     rows = [(1, " ".join([some(), *shared, some()])), (2, f"{some()}\nx y. {' '.join(shared[:3])}\n{' '.join(shared[3:])}  Z.")]
     got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
     assert got == {1: rows[0][1], 2: rows[1][1].split("\n")[0] + "\nx y.\nZ."}
+
+
+def test_copies_with_blank_lines_go(spark):
+    """A full copy goes, whatever blank lines it has; texts without words that lost nothing stay."""
+    rng = random.Random(6)
+    a, b = (" ".join(words(rng, 12)) for _ in range(2))
+    rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{b}\n"), (3, f"\n{a}\n \n{b}"), (4, ""), (5, "\n"), (6, None), (7, f"{b}\nx\n")]
+    kept = line_dedup.drop_repeated_lines(documents(spark, rows)).collect()
+    assert {r.doc_id: r.text for r in kept} == {1: rows[0][1], 4: "", 5: "\n", 6: None, 7: "x\n"}
