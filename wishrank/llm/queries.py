@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, embed_dedup, license_scan, line_dedup, minhash, packing, piece_codec, sharding, token_counts, toxicity
+from . import (
+    ann,
+    best_fit,
+    embed_dedup,
+    license_scan,
+    line_dedup,
+    minhash,
+    packing,
+    piece_codec,
+    sharding,
+    token_counts,
+    toxicity,
+    turn_repair,
+    whitening,
+)
 from .common import table, tokenizer_path
 from .oracles import ORACLES as ORACLES
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BPE_RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +111,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_conversations(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_best_fit(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_minhash": op2_minhash,
@@ -107,4 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_codec": op8_piece_codec,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_best_fit": op13_best_fit,
 }
