@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -70,10 +71,44 @@ def test_word_ids_equal_whole_texts(library, texts):
         assert np.frombuffer(words.encode(text), dtype="<u4").tolist() == whole  # from the cache
 
 
-def test_cache_is_emptied(library, monkeypatch):
+def test_every_token_comes_out_of_its_own_merges():
+    """Then merging by the rank of the joined bytes never differs from merging listed pairs."""
+    words = best_fit.WordEncoder(MODEL)
+    with open(MODEL, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    rank = {m: k for k, m in enumerate(merges)}
+    assert [model["vocab"][a + b] for a, b in merges] == list(range(512, 512 + len(merges)))  # ids in the order of merges
+    assert len(words.ranks) == len(model["vocab"])
+    for token in model["vocab"]:
+        if token in ("<|startoftext|>", "<|endoftext|>"):
+            continue
+        ended = token.endswith("</w>")
+        parts = list(token[:-4] if ended else token)
+        parts[-1] += "</w>" * ended
+        while len(parts) > 1:
+            least = min(range(len(parts) - 1), key=lambda k: rank.get((parts[k], parts[k + 1]), 1 << 30))
+            assert (parts[least], parts[least + 1]) in rank, token
+            parts[least : least + 2] = [parts[least] + parts[least + 1]]
+        assert parts == [token]
+
+
+def test_plain_characters_are_cut_alike(library):
+    """Every character of the fast path, alone and between letters, digits and marks."""
+    words = best_fit.WordEncoder(MODEL)
+    plain = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and words.plain(chr(c))]
+    assert len(plain) > 30_000 and all(c in plain for c in "aZ09 éÉßñ.,'’ж中あ가\n")
+    for around in ("{}", "a{}b", "1{}2", "!{}?", " {} ", "x {}{} y"):
+        texts = [around.replace("{}", c) for c in plain]
+        for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(words.encode(text), dtype="<u4").tolist() == want.ids, repr(text)
+
+
+def test_cache_is_emptied_and_texts_are_cut(library, monkeypatch):
     monkeypatch.setattr(best_fit, "CACHE_BYTES", 1000)
+    monkeypatch.setattr(best_fit, "STRETCH", 20)
     words = best_fit.WordEncoder(MODEL)
-    for text in ("one two three " * 5 + "x" * 200, "four five six seven eight nine", "one " + "y" * 300 + " four"):
+    for text in ("one two three " * 5 + "x" * 200, "αβγ δε ζη θι κλμ ν ξο " * 3, "one " + "й̈" * 300 + " four\n", "  " * 40):
         assert np.frombuffer(words.encode(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert words.held < 3000
 

@@ -25,9 +25,13 @@ spread over range partitions like any other.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,19 @@ from pyspark.sql import functions as F
 from .common import Scratch, slices
 
 #: A cache of word ids in a task is emptied beyond so many bytes of words and ids.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 16 << 20
 #: Longer words are encoded on their own and not kept.
 CACHE_WORD = 64
+#: Texts are encoded in stretches of so many characters, cut at a space.
+STRETCH = 1 << 20
+
+#: Fixed values of the vocabulary file: how it cuts words, and its special strings.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"""
+SPECIAL = "<|"
+#: Characters on which Python and that library agree about classes, case and composition.
+PLAIN = r"[\t\n\r -~À-ÖØ-öø-įı-ňŊ-ž–-„†-…А-яЁёぁ-ゖァ-ヺ一-鿿가-힣]*"
+#: Marks the end of a word; lower-cased text holds none.
+END = "A"
 
 GAP, PIECE, MATCH = 0, 1, 2
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -53,38 +67,83 @@ def class_floor(longest: int, max_len: int) -> int:
 
 
 class WordEncoder:
-    """Ids of a tokenizer that splits at spaces and drops them, put together word by word.
+    """Ids of a byte-pair tokenizer with word ends that lower-cases and drops white space.
 
-    ``tests/llm`` holds it against whole texts for arbitrary Unicode.
+    Texts of plain characters are cut into words here, each closed by an end mark, and merged
+    by a faster library, whose ranks are the tokenizer's merges in their order with the mark
+    for its word end.  Merging by rank gives the same ids as long as every token of the
+    vocabulary comes out of its own merges, which ``tests/llm`` checks.  Words with other
+    characters or special strings go through the tokenizer itself.
     """
 
     def __init__(self, tokenizer_file: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         self.whole = Tokenizer.from_file(tokenizer_file)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.known: dict[str, bytes] = {"": b""}
+        with open(tokenizer_file, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        self.ranks = end_marked(model["vocab"], model["end_of_word_suffix"])
+        self.fast = tiktoken.Encoding("words", pat_str=f"[^{END}]+{END}", mergeable_ranks=self.ranks, special_tokens={})
+        self.cut, self.plain = re.compile(WORDS).findall, re.compile(PLAIN).fullmatch
+        self.known: dict[str, bytes] = {}
         self.held = 0
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.whole.encode_batch(words, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+    def _plain(self, text: str) -> bytes:
+        words = self.cut(text.lower())
+        words.append("")
+        return self.fast.encode_to_numpy(END.join(words), disallowed_special=()).astype("<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = np.asarray(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if len(word) <= CACHE_WORD:
+                if self.held > CACHE_BYTES:
+                    self.known, self.held = {}, 0
+                self.known[word] = ids
+                self.held += 200 + len(word) + len(ids)
+        return ids
+
+    def _stretch(self, text: str) -> bytes:
+        if self.plain(text) and SPECIAL not in text:
+            return self._plain(text)
+        out = []
+        for plain, words in groupby(text.replace("\n", " ").split(" "), lambda w: bool(self.plain(w)) and SPECIAL not in w):
+            out += [self._plain(" ".join(words))] if plain else map(self._word, words)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text."""
-        words = text.replace("\n", " ").split(" ")
-        new = {w for w in words if w not in self.known}
-        if not new:
-            return b"".join(map(self.known.__getitem__, words))
-        if self.held > CACHE_BYTES:
-            self.known, self.held = {"": b""}, 0
-            new = set(words) - {""}
-        here = dict(zip(new, self._encode(list(new))))
-        keep = {w: ids for w, ids in here.items() if len(w) <= CACHE_WORD}
-        self.held += sum(200 + len(w) + len(ids) for w, ids in keep.items())
-        self.known |= keep
-        return b"".join([self.known[w] if w in self.known else here[w] for w in words])
+        if len(text) <= STRETCH:
+            return self._stretch(text)
+        out, at = [], 0
+        while at < len(text):
+            end = text.find(" ", at + STRETCH)
+            end = len(text) if end < 0 else end
+            out.append(self._stretch(text[at:end]))
+            at = end
+        return b"".join(out)
+
+
+def end_marked(vocabulary: dict[str, int], suffix: str) -> dict[bytes, int]:
+    """Ids of a byte-level vocabulary by bytes, with END for the word-end suffix.
+
+    Byte-level vocabularies write a byte as its character where that is printable Latin-1,
+    and the others, in their order, as the characters from 256 on.
+    """
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    other = [b for b in range(256) if b not in set(own)]
+    byte = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(other)}
+
+    def raw(token: str) -> bytes:
+        ended = token.endswith(suffix)
+        return bytes(byte[c] for c in (token[: -len(suffix)] if ended else token)) + END.encode() * ended
+
+    return {raw(token): i for token, i in vocabulary.items()}
 
 
 def cut_pieces(docs: DataFrame, tokenizer_file: str, max_len: int = 2048, end_id: int = 0) -> DataFrame:
