@@ -1,4 +1,4 @@
-"""The whole pipeline on shuffle joins: nothing broadcast, other salts, same rows."""
+"""The whole pipeline on shuffle joins, and with most keys hot: same rows."""
 
 import os
 
@@ -38,7 +38,7 @@ def test_shuffle_joins_end_to_end(spark, union):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        forced = Recommender.from_sf_dir(spark, SF, Params(salt=3, materialize=False))
+        forced = Recommender.from_sf_dir(spark, SF, Params(materialize=False))
         assert "BroadcastHashJoin" not in forced.final_lists()._jdf.queryExecution().executedPlan().toString()
         assert {k: _rows(f(forced)) for k, f in FRAMES.items()} == want
     finally:
@@ -46,6 +46,21 @@ def test_shuffle_joins_end_to_end(spark, union):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_every_key_hot_end_to_end(spark, monkeypatch):
+    """With the sketch's threshold near zero, all joins deal their keys into pieces."""
+    from wishrank.functions import hot_keys
+
+    frames = FRAMES | {"assoc": lambda r: r.assoc_candidates(), "best": lambda r: r.category_candidates(), "full": lambda r: r.bucket_candidates_full()}
+    plain = Recommender.from_sf_dir(spark, SF, Params(split_hot=False))
+    want = {k: _rows(f(plain)) for k, f in frames.items()}
+    monkeypatch.setattr(hot_keys, "TASKS", 0.01)
+    monkeypatch.setattr(hot_keys, "KEYS", 5000)
+    split = Recommender.from_sf_dir(spark, SF, Params())
+    assert len(split.hot_set["goods"].pieces) > 50 and split.hot_set["lists"] and split.hot_rules["item"] and split.hot_wishlist["category"]
+    assert {k: _rows(f(split)) for k, f in frames.items()} == want
+    plain.close(), split.close()
+
+
 def test_building_runs_no_job_but_stage_writes(spark):
     """With every stage written once, building any frame again starts no job."""
     rec = Recommender.from_sf_dir(spark, SF, Params())

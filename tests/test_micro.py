@@ -122,7 +122,7 @@ def test_promotion_copies_of_one_goods_are_spread(spark):
     keep = spark.conf.get("spark.sql.adaptive.enabled")
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        parts = promo_flag(popularity, promotion, Params()).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        parts = promo_flag(popularity, promotion).groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", keep)
     assert sum(r["count"] for r in parts) == 1_000_000

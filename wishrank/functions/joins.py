@@ -1,11 +1,10 @@
 """Equi-joins that stay balanced when one key of the left side is hot.
 
-No job runs while a plan is built.  Whether a side is broadcast is left to the planner
-and, from the sizes of written shuffle files, to adaptive execution; a side is never
-forced.  A join whose left key is known to be hot (a goods, a category or a customer may
-hold a third of all rows) is salted: each left row goes to one of ``Params.salt`` pieces
-by a hash of the whole row, and the right side, at most a few rows per key, is repeated
-once per piece.  The salt is fixed, so plan, columns and result do not depend on sizes.
+Whether a side is broadcast is left to the planner and, from the sizes of written shuffle
+files, to adaptive execution; a side is never forced.  Keys that a sketch of the left side
+found hot (``hot_keys``) are dealt into pieces: each of their left rows goes to one piece by
+a hash of the whole row, and their right rows are repeated once per piece.  All other keys
+have one piece, and without a hot key the join is a plain one.
 """
 
 from __future__ import annotations
@@ -15,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..params import Params
+from .hot_keys import HotKeys, key_hash
 
-_SALT = "_wr_salt"
+_SALT, _HASH, _PIECES = "_wr_salt", "_wr_hash", "_wr_pieces"
 
 
 def keyed_join(
@@ -25,23 +24,26 @@ def keyed_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    params: Params | None = None,
-    *,
-    hot: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Join on the columns ``on``: columns of ``left``, then the other columns of ``right``.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  ``hot`` salts the
-    join: any number of left rows may share a key (or have a null one), as long as they
-    are not all equal; callers with repeated whole rows join their counts.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  ``hot`` holds the hot keys
+    of ``left`` (null ones too), by the hash of ``on`` in this order.  The rows of a hot key
+    must not all be equal; callers with repeated whole rows join their counts.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     on, columns = list(on), list(left.columns)
     rest = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
-    salt = (params or Params()).salt if hot else 1
-    if salt > 1:
-        left = left.withColumn(_SALT, F.pmod(F.xxhash64(*columns), F.lit(salt)).cast("int"))
-        right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    if hot:
+        # At most hot_keys.KEYS rows.
+        pieces = F.broadcast(left.sparkSession.createDataFrame(list(hot.pieces.items()), f"{_HASH} long, {_PIECES} int"))
+        n = F.coalesce(_PIECES, F.lit(1))
+        left = left.join(pieces, key_hash(*on) == F.col(_HASH), "left")
+        left = left.select(*columns, F.pmod(F.xxhash64(*columns), n).cast("int").alias(_SALT))
+        own = list(right.columns)
+        right = right.join(pieces, key_hash(*on) == F.col(_HASH), "left")
+        right = right.select(*own, F.explode(F.sequence(F.lit(0), n - 1)).alias(_SALT))
         on = [*on, _SALT]
     return left.join(right, on, how).select(*columns, *rest)

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.hot_keys import HotKeys
 from ..functions.joins import keyed_join
 from ..functions.ordering import CATEGORY_IMPORTANCE, importance_key
 from ..params import Params
@@ -95,6 +96,7 @@ def bucket_candidates(
     bind: DataFrame,
     params: Params,
     cut: bool = False,
+    hot: dict[str, HotKeys] | None = None,
 ) -> DataFrame:
     """(custno, bucket, goodindex, recomdlist, discounttype, importance), distinct.
 
@@ -107,9 +109,10 @@ def bucket_candidates(
     goods, is skipped).  Every stage after ``best_per_item`` is unchanged;
     the cut table is not de-duplicated (``best_per_item`` ignores repeats).
     """
+    hot = hot or {}
     rows = indexed.select("custno", "bucket", "goodindex", "goodscode").filter(F.col("goodscode").isNotNull())
     acols = ["goodscode", "recomdlist", "discounttype", "importance"] + (["pos"] if cut else [])
-    by_assoc = keyed_join(rows, assoc.select(*acols), ["goodscode"], "inner", params, hot=True)
+    by_assoc = keyed_join(rows, assoc.select(*acols), ["goodscode"], "inner", hot.get("goods"))
     if cut:
         by_assoc = by_assoc.filter(F.col("pos") <= quota("bucket", params))
     by_assoc = by_assoc.select(*CAND_COLS)
@@ -118,7 +121,7 @@ def bucket_candidates(
     b = bind.filter(F.col("recomdlist").isNotNull()).select(
         "level", F.col("catecode").alias("key"), "recomdlist", "discounttype", "pos"
     )
-    by_best = keyed_join(looks, b, ["level", "key"], "inner", params, hot=True)
+    by_best = keyed_join(looks, b, ["level", "key"], "inner", hot.get("lists"))
     if cut:
         by_best = by_best.filter(F.col("pos") <= quota("bucket", params) + 1)
     by_best = (

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.hot_keys import HotKeys, find_hot_keys
 from ..functions.joins import keyed_join
 from ..functions.ordering import (
     ORDER_ASSOC,
@@ -42,25 +43,26 @@ def assoc_rules(order_assoc: DataFrame, rule_log: DataFrame) -> DataFrame:
     return oa.unionByName(rl)
 
 
-def assoc_by_goods(rules: DataFrame, flags: DataFrame, params: Params) -> DataFrame:
+def assoc_by_goods(rules: DataFrame, flags: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """(goodscode, recomdlist, importance, discounttype), distinct.
 
     Keeps an item only if it sells (appears in popularity), coded 1/2 when off
     promotion and 5/6 when promoted, through one join to the per-goods flag table.
+    Repeated rules go before the join; an item has one flag, so no others arise.
     """
-    f = flags.select(F.col("goodscode").alias("recomdlist"), "promotype")
-    j = keyed_join(rules, f, ["recomdlist"], "inner", params, hot=True)
+    f = flags.select(F.col("goodscode").alias("recomdlist"), F.col("goodscode").alias("_item"), "promotype")
+    j = keyed_join(rules.distinct(), f, ["recomdlist"], "inner", hot)
     return j.select(
         "goodscode",
-        "recomdlist",
+        F.col("_item").alias("recomdlist"),  # spelled as in popularity
         "importance",
         discount_code(F.col("base"), F.col("promotype")).alias("discounttype"),
-    ).distinct()
+    )
 
 
-def assoc_candidates(filled: DataFrame, assoc: DataFrame, params: Params) -> DataFrame:
+def assoc_candidates(filled: DataFrame, assoc: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Association candidates of every filled wishlist row."""
-    j = keyed_join(filled.select("custno", "goodscode", "catecode").distinct(), assoc, ["goodscode"], "inner", params, hot=True)
+    j = keyed_join(filled.select("custno", "goodscode", "catecode").distinct(), assoc, ["goodscode"], "inner", hot)
     return j.select(
         F.col("custno").alias("cust_no"),
         "goodscode",
@@ -194,6 +196,14 @@ def level_keys(*pairs) -> Column:
     ).alias("lk")
 
 
+def hot_keys_of_set(wset: DataFrame) -> dict[str, HotKeys]:
+    """Hot goods and hot (level, code) lists of the filled set, in one pass."""
+    cat, p2 = [F.lit(CAT), F.col("catecode")], [F.lit(P2), F.col("p2code")]
+    # Lists are also looked up at the parent level by a row's category.
+    found = find_hot_keys(wset, goods=[F.col("goodscode")], cat=cat, p2=p2, cross=[F.lit(P2), F.col("catecode")])
+    return {"goods": found["goods"], "lists": found["cross"] | found["p2"] | found["cat"]}
+
+
 def code_summaries(wset: DataFrame) -> DataFrame:
     """(custno, level, key, gmin, gmax): min and max goods of a customer's rows per code.
 
@@ -211,7 +221,7 @@ def code_summaries(wset: DataFrame) -> DataFrame:
     )
 
 
-def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
+def category_candidates(filled: DataFrame, bind: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Best-sellers of each row's category and parent, minus the row's goods.
 
     (cust_no, catecode, recomdlist, discounttype), distinct; catecode holds
@@ -221,7 +231,7 @@ def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> D
     entries are distinct items and the two levels never share a code, so the
     join yields every row once and no de-duplication shuffle is needed.
     """
-    return list_entries(code_summaries(filled), bind, params).select(
+    return list_entries(code_summaries(filled), bind, hot).select(
         F.col("custno").alias("cust_no"),
         F.col("key").alias("catecode"),
         "recomdlist",
@@ -229,11 +239,11 @@ def category_candidates(filled: DataFrame, bind: DataFrame, params: Params) -> D
     )
 
 
-def list_entries(summ: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
+def list_entries(summ: DataFrame, bind: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """(custno, level, key, recomdlist, discounttype): each summarised list of a
     customer, minus the goods when all of the customer's rows there carry it.
     NULL items are never recommended."""
     b = bind.filter(F.col("recomdlist").isNotNull()).select("level", F.col("catecode").alias("key"), "recomdlist", "discounttype")
-    return keyed_join(summ, b, ["level", "key"], "inner", params, hot=True).filter(
+    return keyed_join(summ, b, ["level", "key"], "inner", hot).filter(
         ~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist")))
     )

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hot_keys import HotKeys
 from ..functions.joins import keyed_join
 from ..params import Params
 
@@ -40,7 +41,7 @@ def category_parent_map(source: DataFrame, popularity: DataFrame, params: Params
     return cats.join(pairs, "category_code", params.fill_mode)
 
 
-def fill_parent(source: DataFrame, cmap: DataFrame, params: Params) -> DataFrame:
+def fill_parent(source: DataFrame, cmap: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Attach the parent code to rows that have a category.
 
     A category with several parent codes yields one row per parent.  Repeated
@@ -49,7 +50,7 @@ def fill_parent(source: DataFrame, cmap: DataFrame, params: Params) -> DataFrame
     """
     rows = source.filter(F.col("category_code").isNotNull()).groupBy("cust_no", "goods_code", "category_code").count()
     cmap = cmap.filter(F.col("category_code").isNotNull())
-    out = keyed_join(rows, cmap, ["category_code"], "inner", params, hot=True)
+    out = keyed_join(rows, cmap, ["category_code"], "inner", hot)
     out = out.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))))
     return out.select(
         F.col("cust_no").alias("custno"),
@@ -74,7 +75,7 @@ def first_category(popularity: DataFrame) -> DataFrame:
     )
 
 
-def fill_category(source: DataFrame, popularity: DataFrame, params: Params) -> DataFrame:
+def fill_category(source: DataFrame, popularity: DataFrame, params: Params, hot: HotKeys | None = None) -> DataFrame:
     """P5: one filled row per (customer, goods) among NULL-category rows."""
     # A NULL goods matches nothing, in both modes.
     rows = (
@@ -82,7 +83,7 @@ def fill_category(source: DataFrame, popularity: DataFrame, params: Params) -> D
         .select("cust_no", "goods_code")
         .distinct()
     )
-    out = keyed_join(rows, first_category(popularity), ["goods_code"], params.fill_mode, params, hot=True)
+    out = keyed_join(rows, first_category(popularity), ["goods_code"], params.fill_mode, hot)
     return out.select(
         F.col("cust_no").alias("custno"),
         F.col("goods_code").alias("goodscode"),
@@ -91,20 +92,23 @@ def fill_category(source: DataFrame, popularity: DataFrame, params: Params) -> D
     )
 
 
-def filled_wishlist(wishlist: DataFrame, popularity: DataFrame, params: Params) -> DataFrame:
-    """Parent-filled rows followed by category-filled rows (UNION ALL)."""
-    src = fill_source(wishlist, params)
-    cmap = category_parent_map(src, popularity, params)
-    return fill_parent(src, cmap, params).unionByName(fill_category(src, popularity, params))
+def filled_rows(source: DataFrame, popularity: DataFrame, params: Params, hot: dict[str, HotKeys] | None = None) -> DataFrame:
+    """Parent-filled rows followed by category-filled rows of ``source`` (UNION ALL)."""
+    hot = hot or {}
+    cmap = category_parent_map(source, popularity, params)
+    parents = fill_parent(source, cmap, hot.get("category"))
+    return parents.unionByName(fill_category(source, popularity, params, hot.get("goods")))
 
 
-def filled_set(wishlist: DataFrame, popularity: DataFrame, params: Params) -> DataFrame:
+def filled_wishlist(wishlist: DataFrame, popularity: DataFrame, params: Params, hot: dict[str, HotKeys] | None = None) -> DataFrame:
+    """The filled rows of the wishlist that the fill mode reads."""
+    return filled_rows(fill_source(wishlist, params), popularity, params, hot)
+
+
+def filled_set(wishlist: DataFrame, popularity: DataFrame, params: Params, hot: dict[str, HotKeys] | None = None) -> DataFrame:
     """Distinct filled rows, computed from the distinct wishlist.
 
     Every later stage has set semantics, so the pipeline fills distinct rows
     only; this equals ``filled_wishlist(...).distinct()`` in both modes.
     """
-    src = wishlist_distinct(wishlist)
-    cmap = category_parent_map(src, popularity, params)
-    out = fill_parent(src, cmap, params).unionByName(fill_category(src, popularity, params))
-    return out.distinct()
+    return filled_rows(wishlist_distinct(wishlist), popularity, params, hot).distinct()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.hot_keys import HotKeys
 from ..functions.joins import keyed_join
 from ..functions.ordering import ordered_list
 from ..params import Params
@@ -39,7 +40,9 @@ def flat_candidates(ar: DataFrame, tp: DataFrame) -> DataFrame:
     return a.unionByName(t)
 
 
-def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame, params: Params) -> DataFrame:
+def flat_candidates_cut(
+    wset: DataFrame, assoc_top: DataFrame, bind: DataFrame, params: Params, hot: dict[str, HotKeys] | None = None
+) -> DataFrame:
     """Flat candidates built straight from the filled set with one de-duplication.
 
     ``assoc_top`` and ``bind`` are already cut to what a customer's first
@@ -49,8 +52,9 @@ def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame,
     kept once per (item, importance, code).  Both parts never share a code,
     so one distinct over (customer, item, type, importance) covers both.
     """
+    hot = hot or {}
     ar = (
-        keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", params, hot=True)
+        keyed_join(wset.select("custno", "goodscode"), assoc_top, ["goodscode"], "inner", hot.get("goods"))
         .select(
             F.col("custno").alias("CustNO"),
             F.col("recomdlist").alias("item"),
@@ -58,7 +62,7 @@ def flat_candidates_cut(wset: DataFrame, assoc_top: DataFrame, bind: DataFrame,
             F.col("importance").alias("_imp"),
         )
     )
-    tp = list_entries(code_summaries(wset), bind, params).select(
+    tp = list_entries(code_summaries(wset), bind, hot.get("lists")).select(
         F.col("custno").alias("CustNO"),
         F.col("recomdlist").alias("item"),
         F.col("discounttype").cast("string").alias("type"),

@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hot_keys import HotKeys
 from ..functions.joins import keyed_join
-from ..params import Params
 
 #: Copies of a row that one task spells out at a time.
 COPIES = 1000
@@ -30,40 +30,23 @@ def promo_counts(promotion: DataFrame) -> DataFrame:
     )
 
 
-def promo_flag(popularity: DataFrame, promotion: DataFrame, params: Params) -> DataFrame:
+def promo_flag(popularity: DataFrame, promotion: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """The promotion-flagged popularity table with every copy spelled out.
 
-    Goods without a promotion row pass through once with promotype 1.  The others join
-    the *number* of their promotion rows (one row per goods) and are expanded to that
-    many copies in two levels with a shuffle between, so a goods listed any number of
-    times is spelled out by many tasks.
+    Equal popularity rows are counted first and joined to the *number* of promotion rows of
+    their goods (one row per goods).  Goods without one have promotype 1 and their own
+    copies; the others have as many times more.  Copies are spelled out in two levels with
+    a shuffle between, so any number of them is spelled out by many tasks.
     """
-    flagged = keyed_join(popularity, promo_counts(promotion), ["goods_code"], "left", params, hot=True)
-    own = list(popularity.columns)
-    plain = flagged.filter(F.col("m").isNull()).select(*own, F.lit(1).alias("promotype"))
-    blocks = flagged.filter(F.col("m").isNotNull()).select(
-        *own, "m", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / COPIES))).alias("_block")
-    )
-    copies = F.least(F.lit(COPIES), F.col("m") - F.col("_block") * COPIES)
-    promoted = (
-        blocks.repartition(*[F.col(c) for c in own], F.col("_block"))
-        .select(*own, F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-        .select(*own, F.lit(0).alias("promotype"))
-    )
-    return _rename_mpc(plain.unionByName(promoted))
-
-
-def _rename_mpc(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("count"),
-        F.col("goods_code").alias("goodscode"),
-        F.col("category_code").alias("catecode"),
-        F.col("p2_category_code").alias("p2code"),
-        F.col("promotype").cast("int").alias("promotype"),
-    )
+    flagged = weighted_popularity(popularity, promotion, hot)
+    blocks = flagged.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("w") - 1) / COPIES))).alias("_block"))
+    copies = F.least(F.lit(COPIES), F.col("w") - F.col("_block") * COPIES)
+    few = blocks.filter(F.col("w") <= COPIES)
+    many = blocks.filter(F.col("w") > COPIES).repartition("goodscode", "catecode", "p2code", "count", "_block")
+    return few.unionByName(many).select(*MPC_COLS, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*MPC_COLS)
 
 
-def weighted_popularity(popularity: DataFrame, promotion: DataFrame, params: Params) -> DataFrame:
+def weighted_popularity(popularity: DataFrame, promotion: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """(count, goodscode, catecode, p2code, promotype, w) with w copies per row.
 
     Identical popularity rows are collapsed first (n copies), then the
@@ -72,7 +55,7 @@ def weighted_popularity(popularity: DataFrame, promotion: DataFrame, params: Par
     up a task.
     """
     pop = popularity.groupBy(*popularity.columns).agg(F.count(F.lit(1)).alias("n"))
-    joined = keyed_join(pop, promo_counts(promotion), ["goods_code"], "left", params, hot=True)
+    joined = keyed_join(pop, promo_counts(promotion), ["goods_code"], "left", hot)
     return joined.select(
         F.col("count"),
         F.col("goods_code").alias("goodscode"),

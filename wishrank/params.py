@@ -22,8 +22,8 @@ class Params:
     # Non-parity option: buckets 2-5 also look up parent-category best-sellers
     # through each row's own parent code, as bucket 1 does.
     parent_backfill: bool = False
-    # Pieces that the rows of one key are dealt into where the key may be hot.
-    salt: int = 8
+    # Look for hot join keys in written stages and deal their rows into pieces.
+    split_hot: bool = True
     # Compare codes without regard to case (they are lower-cased at ingest).
     fold_case: bool = False
     # Write stage results to the checkpoint folder between pipeline phases.
@@ -37,8 +37,6 @@ class Params:
             raise ValueError(f"fill_mode must be 'left' or 'inner', got {self.fill_mode!r}")
         if self.importance_order not in ("text", "numeric"):
             raise ValueError("importance_order must be 'text' or 'numeric'")
-        if self.salt < 1:
-            raise ValueError("salt must be positive")
         if self.k < 1 or self.budget < 1 or self.max_items < 1:
             raise ValueError("k, budget and max_items must be positive")
         return self

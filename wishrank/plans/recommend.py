@@ -1,20 +1,20 @@
 """End-to-end plans: quota lists (E1), flat lists (E2), filled wishlist.
 
 ``Recommender`` holds one run's inputs and parameters and exposes every stage
-as a DataFrame.  Building one runs no job but the writes of the stages it shares
-with others (inputs derived from driver tables, popularity weights, filled wishlist set,
+as a DataFrame.  Building one runs no job but one sketch of hot join keys per stage that
+needs it and the writes of the stages it shares with others (inputs derived from driver tables, popularity weights, filled wishlist set,
 association and best-seller lists), each once per run; the rest is a lazy plan for
 Catalyst.
 
 Shuffle plan of the quota lists, per phase:
 
-* fill: wishlist distinct (by row), then salted joins to the category map and the
+* fill: wishlist distinct (by row), then joins to the category map and the
   goods picks;
 * per-goods association: one join to the per-goods flag table, one
   (goods, item) aggregate, one partial top-k per goods;
 * best-sellers: one window per (code, promotion flag) with a partial top-k;
 * index: one partial top-5 per customer;
-* candidates: salted joins to per-goods lists and best-seller lists, a join to
+* candidates: joins (hot keys in pieces) to per-goods lists and best-seller lists, a join to
   per-code summaries; one (customer, row, item) aggregate; one partial
   top-k per (customer, row); one (customer, item) aggregate; one grouped list.
 """
@@ -24,7 +24,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.hot_keys import HotKeys, find_hot_keys
 from ..operators import buckets, candidates, checks, fill, flat, lists, promo
 from ..params import DEFAULT, Params
 from ..sources.inputs import CleanInputs, DerivedInputs, Inputs
@@ -59,15 +61,41 @@ class Recommender:
     def inputs(self) -> CleanInputs:
         return CleanInputs(self.raw, self.params.fold_case)
 
+    # -------------------------------------------- hot keys of written stages
+    def _hot(self, frame, nulls: bool = False, **keys) -> dict[str, HotKeys]:
+        look = self.params.split_hot and self.params.materialize
+        return find_hot_keys(frame(), nulls, **keys) if look else {}
+
+    @cached_property
+    def hot_popularity(self) -> dict[str, HotKeys]:
+        return self._hot(lambda: self.inputs.popularity, nulls=True, goods=[F.col("goods_code")])
+
+    @cached_property
+    def hot_wishlist(self) -> dict[str, HotKeys]:
+        """Of the rows that each join reads: those with a category, and those without."""
+        known = F.col("category_code").isNotNull()
+        goods = F.when(~known, F.col("goods_code"))
+        return self._hot(lambda: self.inputs.wishlist, category=[F.col("category_code")], goods=[goods])
+
+    @cached_property
+    def hot_rules(self) -> dict[str, HotKeys]:
+        i = self.inputs
+        return self._hot(lambda: candidates.assoc_rules(i.order_assoc, i.rule_log), item=[F.col("recomdlist")])
+
+    @cached_property
+    def hot_set(self) -> dict[str, HotKeys]:
+        look = self.params.split_hot and self.params.materialize
+        return candidates.hot_keys_of_set(self.wishlist_set) if look else {}
+
     # ------------------------------------------------------ promotion
     def promo_flag(self) -> DataFrame:
         i = self.inputs
-        return promo.promo_flag(i.popularity, i.promotion, self.params)
+        return promo.promo_flag(i.popularity, i.promotion, self.hot_popularity.get("goods"))
 
     @cached_property
     def weighted(self) -> DataFrame:
         i = self.inputs
-        return self.stage(promo.weighted_popularity(i.popularity, i.promotion, self.params), "weighted")
+        return self.stage(promo.weighted_popularity(i.popularity, i.promotion, self.hot_popularity.get("goods")), "weighted")
 
     @cached_property
     def flags(self) -> DataFrame:
@@ -83,29 +111,29 @@ class Recommender:
 
     def fill_parent(self) -> DataFrame:
         src = fill.fill_source(self.inputs.wishlist, self.params)
-        return fill.fill_parent(src, self.category_parent_map(), self.params)
+        return fill.fill_parent(src, self.category_parent_map(), self.hot_wishlist.get("category"))
 
     def fill_category(self) -> DataFrame:
         src = fill.fill_source(self.inputs.wishlist, self.params)
-        return fill.fill_category(src, self.inputs.popularity, self.params)
+        return fill.fill_category(src, self.inputs.popularity, self.params, self.hot_wishlist.get("goods"))
 
     def filled_wishlist(self) -> DataFrame:
-        return fill.filled_wishlist(self.inputs.wishlist, self.inputs.popularity, self.params)
+        return fill.filled_wishlist(self.inputs.wishlist, self.inputs.popularity, self.params, self.hot_wishlist)
 
     @cached_property
     def wishlist_set(self) -> DataFrame:
         i = self.inputs
-        return self.stage(fill.filled_set(i.wishlist, i.popularity, self.params), "wishlist_set")
+        return self.stage(fill.filled_set(i.wishlist, i.popularity, self.params, self.hot_wishlist), "wishlist_set")
 
     # ------------------------------------------------------ candidates
     @cached_property
     def assoc(self) -> DataFrame:
         i = self.inputs
         rules = candidates.assoc_rules(i.order_assoc, i.rule_log)
-        return self.stage(candidates.assoc_by_goods(rules, self.flags, self.params), "assoc")
+        return self.stage(candidates.assoc_by_goods(rules, self.flags, self.hot_rules.get("item")), "assoc")
 
     def assoc_candidates(self) -> DataFrame:
-        return candidates.assoc_candidates(self.wishlist_set, self.assoc, self.params)
+        return candidates.assoc_candidates(self.wishlist_set, self.assoc, self.hot_set.get("goods"))
 
     @cached_property
     def binding(self) -> DataFrame:
@@ -115,7 +143,7 @@ class Recommender:
         return self.binding.filter(self.binding.level == level).drop("level", "pos")
 
     def category_candidates(self) -> DataFrame:
-        return candidates.category_candidates(self.wishlist_set, self.binding, self.params)
+        return candidates.category_candidates(self.wishlist_set, self.binding, self.hot_set.get("lists"))
 
     # ---------------------------------------------------------- flat
     def flat_candidates(self) -> DataFrame:
@@ -126,7 +154,7 @@ class Recommender:
         # Association rows limited per goods first (exact, see assoc_flat_top).
         top = self.stage(candidates.assoc_flat_top(self.assoc, self.params), "assoc_flat_top")
         bind = candidates.flat_binding(self.binding, self.params)
-        cands = flat.flat_candidates_cut(self.wishlist_set, top, bind, self.params)
+        cands = flat.flat_candidates_cut(self.wishlist_set, top, bind, self.params, self.hot_set)
         return flat.flat_topk(cands, self.params)
 
     def flat_result(self) -> DataFrame:
@@ -143,7 +171,7 @@ class Recommender:
     def bucket_candidates_full(self) -> DataFrame:
         """The full candidate tables of all buckets together."""
         return buckets.bucket_candidates(
-            self.indexed, self.wishlist_set, self.assoc, self.binding, self.params
+            self.indexed, self.wishlist_set, self.assoc, self.binding, self.params, hot=self.hot_set
         )
 
     @cached_property
@@ -160,7 +188,7 @@ class Recommender:
         """
         top = self.stage(candidates.assoc_best_top(self.assoc, self.params), "assoc_best_top")
         cands = buckets.bucket_candidates(
-            self.indexed, self.wishlist_set, top, self.binding, self.params, cut=True
+            self.indexed, self.wishlist_set, top, self.binding, self.params, cut=True, hot=self.hot_set
         )
         return cands.repartition("custno")
 

@@ -68,8 +68,8 @@ def derive_wishlist(spark: SparkSession, sf_dir: str, params: Params) -> DataFra
     g = goods(spark, sf_dir).select(
         F.col("p_partkey").alias("l_partkey"), "goods_code", "category_code"
     )
-    lo = keyed_join(li, o, ["l_orderkey"], "inner", params)
-    log = keyed_join(lo, g, ["l_partkey"], "inner", params)
+    lo = keyed_join(li, o, ["l_orderkey"])
+    log = keyed_join(lo, g, ["l_partkey"])
     return log.select(
         F.col("o_custkey").cast("string").alias("cust_no"),
         "goods_code",
@@ -87,7 +87,7 @@ def derive_popularity(spark: SparkSession, sf_dir: str, params: Params) -> DataF
         .agg(F.count(F.lit(1)).cast("int").alias("count"))
     )
     g = goods(spark, sf_dir)
-    sg = keyed_join(sold, g, ["p_partkey"], "inner", params)
+    sg = keyed_join(sold, g, ["p_partkey"])
     main = sg.filter(
         (F.pmod(F.col("p_partkey"), F.lit(MISSING_GOODS_MOD)) != MISSING_GOODS_REM)
         & ~F.col("category_code").startswith(MISSING_BRAND_PREFIX)
