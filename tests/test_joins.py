@@ -92,6 +92,13 @@ def test_hot_key_is_spread(spark, settings):
     assert len(spread) > 8 and max(spread) < 0.3 * sum(spread) and sum(spread) == 10_000
 
 
+def test_collated_keys_stay_whole(spark):
+    left = spark.createDataFrame([("Ab", 1), ("aB ", 2), ("AB", 3), ("c", 4)], "k string, v int").withColumn("k", F.collate("k", "UTF8_LCASE_RTRIM"))
+    right = left.select("k", F.col("v").alias("w"))
+    hot = find_hot_keys(left, k=[F.col("k")], v=[F.col("v")])
+    assert not hot["k"] and keyed_join(left, right, ["k"], "inner", hot["k"]).count() == 10
+
+
 def test_no_generate_without_hot_keys(spark, sides):
     left, right = sides
     for hot in (None, HotKeys()):

@@ -109,7 +109,45 @@ def test_case_can_be_folded(spark):
     exact = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False))
     assert set(_final(exact)) == {"U2"}
     folded = Recommender(spark, micro_inputs(spark, wishlist=wish), Params(materialize=False, fold_case=True))
-    assert {k: (n, v.upper()) for k, (n, v) in _final(folded).items()} == {"u1": FINAL_B["U1"], "u2": FINAL_B["U2"]}
+    assert _final(folded) == {"u1": FINAL_B["U1"], "U2": FINAL_B["U2"]}
+
+
+def test_folded_codes_keep_their_spelling(spark):
+    """"Ab " is "aB"; output spells a code as its table does, the smallest way where there are several."""
+    pop = [(9, "Ab ", "Cat", "Par"), (8, "xY", "cAT ", "par"), (7, "aB", "Cat", "Par"), (6, "other", "CAT", "Par")]
+    rules = [("AB", "Xy ", "5"), ("ab", "OTHER", "4"), ("aB ", "xY", "5"), ("ab", "gone", "9")]
+    wish = [("Cust", "aB", "CAT"), ("cUST ", "AB", "cat  "), ("Else", "ab", None)]
+    inputs = micro_inputs(spark, wishlist=wish, popularity=pop, promotion=[("XY",)], order_assoc=rules, rule_log=[])
+    rec = Recommender(spark, inputs, Params(fold_case=True))
+    assert rec.wishlist_distinct().count() == 2
+    lists = _final(rec)
+    assert set(lists) == {"Cust", "Else"}  # one customer, spelled the smaller way
+    assert lists["Cust"] == (2, "other,xY") == lists["Else"]
+    flat = {r.CustNO: r.Items for r in rec.flat_result().collect()}
+    assert set(flat) == {"Cust", "Else"} and "Xy" not in flat["Cust"] and "OTHER" not in flat["Cust"]
+    exact = Recommender(spark, inputs, Params())
+    assert exact.assoc.count() == 1 and rec.assoc.count() == 2  # one rule spells its item as it is sold
+    rec.close(), exact.close()
+
+
+def test_backfill_fills_lists(spark):
+    """Lists have min(budget, candidates) items, those of the quota lists first of all."""
+    import random
+
+    rng = random.Random(4)
+    goods = [f"G{k}" for k in range(40)]
+    pop = [(rng.randrange(90), g, f"C{rng.randrange(6)}", f"P{rng.randrange(2)}") for g in goods]
+    wish = [(f"U{rng.randrange(25)}", rng.choice(goods), rng.choice([None, *(f"C{k}" for k in range(6))])) for _ in range(90)]
+    rules = [(rng.choice(goods), rng.choice(goods), str(rng.randrange(50))) for _ in range(150)]
+    inputs = micro_inputs(spark, wish, pop, [(g,) for g in goods[:9]], rules, rules[:20])
+    for budget in (40, 7):
+        params = Params(materialize=False, budget=budget)
+        base, fill = Recommender(spark, inputs, params), Recommender(spark, inputs, params.with_(backfill=True))
+        candidates = {r[0]: r[1] for r in base.bucket_candidates_full().selectExpr("custno", "recomdlist").distinct().groupBy("custno").count().collect()}
+        parity, full = _final(base), _final(fill)
+        assert {k: n for k, (n, _) in full.items()} == {k: min(budget, n) for k, n in candidates.items()}
+        assert all(set(v.split(",")) <= set(full[k][1].split(",")) for k, (_, v) in parity.items())
+        assert any(n < full[k][0] for k, (n, _) in parity.items())
 
 
 def test_promotion_copies_of_one_goods_are_spread(spark):

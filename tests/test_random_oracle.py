@@ -88,6 +88,8 @@ def test_random_inputs_match_oracle(spark, seed, mode):
     inputs = micro_inputs(spark, *data)
     rec = Recommender(spark, inputs, Params(fill_mode=mode, materialize=False))
     con = _duck(*data)
+    poured = Recommender(spark, inputs, Params(fill_mode=mode, materialize=False, backfill=True)).final_lists()
+    assert _rows(poured.collect()) == _rows(con.execute(stage_sql(mode, "SELECT * FROM full_lists")).fetchall())
     for r in rec.final_lists().collect():
         assert r.recomdcount == len(r.recomdlist.split(","))
     for name, (sql, fn) in CHECKS.items():

@@ -1,0 +1,262 @@
+"""Result tables by run, insert-select by position, the current database, fingerprints."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wishrank import Params, Recommender, ResultStore, catalog_inputs, current_database, insert_by_position, publish_results
+from wishrank.functions.fingerprint import distinct_check, fingerprint
+from wishrank.sources.context import qualified
+from wishrank.sources.insert import plan_insert, target_columns
+
+from .micro import micro_inputs
+from .test_micro import FINAL_B, FLAT_B
+from .test_tables import database  # noqa: F401
+
+TABLES = {"flat_candidates", "flat_topk", "flat_result", "final_lists"}
+
+
+def rows(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+@pytest.fixture(params=["database", "path"])
+def store(request, spark, database, tmp_path):  # noqa: F811
+    kwargs = {"database": database} if request.param == "database" else {"path": str(tmp_path / "results")}
+    return ResultStore(spark, **kwargs)
+
+
+def lists(store):
+    return {r.custno: (r.recomdcount, r.recomdlist) for r in store.read("final_lists").collect()}
+
+
+def test_a_run_twice_has_its_rows_once(spark, store):
+    rec = Recommender(spark, micro_inputs(spark), Params())
+    for _ in range(2):
+        counts = publish_results(rec, store, "r1")
+        assert set(counts) == TABLES == set(store.tables()) and counts["flat_result"] == len(FLAT_B)
+        assert lists(store) == FINAL_B and store.current() == "r1"
+        assert {r.CustNO: r.Items for r in store.read("flat_result").collect()} == FLAT_B
+    rec.close()
+
+
+def test_a_job_that_dies_leaves_the_former_set(spark, store, monkeypatch):
+    rec = Recommender(spark, micro_inputs(spark), Params())
+    publish_results(rec, store, "r1")
+    before = {name: rows(store.read(name)) for name in TABLES}
+    other = Recommender(spark, micro_inputs(spark, wishlist=[("U9", "G1", "C1")]), Params())
+    put, done = ResultStore.put, []
+
+    def dies(self, run_id, name, frame):
+        if len(done) == 2:
+            raise OSError("killed between two tables")
+        put(self, run_id, name, frame)
+        done.append(name)
+
+    with monkeypatch.context() as m:
+        m.setattr(ResultStore, "put", dies)
+        with pytest.raises(OSError):
+            publish_results(other, store, "r2")
+    assert len(done) == 2 and store.current() == "r1"
+    assert {name: rows(store.read(name)) for name in TABLES} == before
+    publish_results(other, store, "r2")  # the repeated job replaces what it had begun
+    assert store.current() == "r2" and set(lists(store)) == {"U9"}
+    assert {name: rows(store.read(name, "r1")) for name in TABLES} == before
+    store.publish("r1")  # and back
+    assert {name: rows(store.read(name)) for name in TABLES} == before
+    with pytest.raises(ValueError):
+        store.drop("r1")
+    store.drop("r2")
+    assert {name: rows(store.read(name)) for name in TABLES} == before
+    rec.close(), other.close()
+
+
+def test_tables_of_a_run_are_checked_before_the_switch(spark, store, monkeypatch):
+    rec = Recommender(spark, micro_inputs(spark), Params())
+    put = ResultStore.put
+    monkeypatch.setattr(ResultStore, "put", lambda self, run_id, name, frame: put(self, run_id, name, frame.limit(1)))
+    with pytest.raises(RuntimeError, match="wrote"):
+        publish_results(rec, store, "r1")
+    assert store.current() is None
+    rec.close()
+
+
+def test_empty_results_replace_a_run(spark, store):
+    frame = spark.range(3).select(F.col("id").alias("n"), F.lit("x").alias("s"))
+    store.put("a", "t", frame)
+    store.put("b", "t", frame.limit(1))
+    store.put("a", "t", frame.limit(0))
+    assert store.read("t", "a").count() == 0 and store.read("t", "b").count() == 1
+    assert store.read("t", "a").columns == ["n", "s"]
+
+
+def test_store_arguments(spark, tmp_path):
+    with pytest.raises(ValueError):
+        ResultStore(spark)
+    store = ResultStore(spark, path=str(tmp_path))
+    with pytest.raises(ValueError):
+        store.put("no/slash", "t", spark.range(1))
+    with pytest.raises(ValueError):
+        store.read("t")
+
+
+# ------------------------------------------------------------ insert-select by position
+def test_insert_by_position(spark, database):  # noqa: F811
+    spark.sql(f"CREATE TABLE {database}.goal (who CHAR(5), what VARCHAR(3), n INT, p DECIMAL(5,2)) USING parquet")
+    source = spark.createDataFrame(
+        [("abcde   ", "xyz  ", "7", 1.5), ("toolong", "x", "8", 1.0), ("b", "four", "nine", 2.0), (None, None, None, None), ("c", "y", "12345678901", 99999.0)],
+        "a string, b string, c string, d double",
+    )
+    found = insert_by_position(source, f"{database}.goal", rejects=f"{database}.odd")
+    got = {(r.who and r.who.rstrip(), r.what and r.what.rstrip(), r.n, r.p and float(r.p)) for r in spark.table(f"{database}.goal").collect()}
+    assert got == {("abcde", "xyz", 7, 1.5), (None, None, None, None)}
+    assert found == {
+        "who: longer than 5 characters": 1, "what: longer than 3 characters": 1,
+        "n: not a value of type int": 2, "p: not a value of type decimal(5,2)": 1,
+    }
+    odd = spark.table(f"{database}.odd").collect()
+    assert len(odd) == 3 and {r.target for r in odd} == {qualified(spark, f"{database}.goal")}
+    assert any('"toolong"' in r["row"] for r in odd)
+    insert_by_position(source, f"{database}.goal")  # appends
+    assert spark.table(f"{database}.goal").count() == 4
+    insert_by_position(source.limit(0), f"{database}.goal", overwrite=True)
+    assert spark.table(f"{database}.goal").count() == 0
+
+
+def test_insert_maps_by_place_not_by_name(spark, database):  # noqa: F811
+    spark.sql(f"CREATE TABLE {database}.goal (a STRING, b STRING) USING parquet")
+    insert_by_position(spark.createDataFrame([("1", "2")], "b string, a string"), f"{database}.goal")
+    twice = spark.createDataFrame([("3", "4")], "x string, y string").toDF("same", "same")
+    insert_by_position(twice, f"{database}.goal")
+    assert rows(spark.table(f"{database}.goal")) == [str(("1", "2")), str(("3", "4"))]
+    with pytest.raises(ValueError, match="2 columns"):
+        plan_insert(spark.range(1), f"{database}.goal")
+
+
+def test_insert_does_not_round(spark, database):  # noqa: F811
+    spark.sql(f"CREATE TABLE {database}.goal (n INT) USING parquet")
+    assert insert_by_position(spark.createDataFrame([(1.5,), (2.0,), (1e12,)], "x double"), f"{database}.goal") == {"n: not a value of type int": 2}
+    assert [r.n for r in spark.table(f"{database}.goal").collect()] == [2]
+
+
+def test_filled_wishlist_goes_into_a_renamed_table(spark, database):  # noqa: F811
+    """The filled wishlist into declared CHAR columns of other names, as a job's target table has them."""
+    spark.sql(f"CREATE TABLE {database}.goal (customer CHAR(30), goods CHAR(30), category CHAR(30), parent VARCHAR(20)) USING parquet PARTITIONED BY (parent)")
+    assert [t.type for t in target_columns(spark, f"{database}.goal")] == ["char(30)"] * 3 + ["varchar(20)"]
+    wish = [("U1", "G1", "C1"), ("U" * 31, "G1", "C1")]
+    rec = Recommender(spark, micro_inputs(spark, wishlist=wish), Params())
+    assert insert_by_position(rec.filled_wishlist(), f"{database}.goal") == {"customer: longer than 30 characters": 1}
+    back = spark.table(f"{database}.goal").select(*[F.rtrim(c).alias(c) for c in ("customer", "goods", "category", "parent")])
+    assert rows(back) == rows(rec.filled_wishlist().filter("length(custno) <= 30"))
+    rec.close()
+
+
+# ------------------------------------------------------------------- current database
+def test_current_database_is_set_and_restored(spark, database):  # noqa: F811
+    names = ("wishlist", "popularity", "promotion", "order_assoc", "rule_log")
+    inputs = micro_inputs(spark)
+    for n in names:
+        getattr(inputs, n).write.saveAsTable(f"{database}.{n}")
+    before = spark.catalog.currentDatabase()
+    with current_database(spark, database):
+        assert spark.catalog.currentDatabase() == database
+        assert qualified(spark, "wishlist") == f"spark_catalog.{database}.wishlist"
+        with current_database(spark, before):
+            assert spark.catalog.currentDatabase() == before
+        assert spark.catalog.currentDatabase() == database
+    with pytest.raises(KeyError):
+        with current_database(spark, f"spark_catalog.{database}"):
+            raise KeyError
+    assert spark.catalog.currentDatabase() == before
+    rec = Recommender(spark, catalog_inputs(spark, *names, database=database), Params(materialize=False))
+    assert {r.custno: (r.recomdcount, r.recomdlist) for r in rec.final_lists().collect()} == FINAL_B
+    # A temporary view hides a table of its name, as in SQL.
+    spark.createDataFrame([("U7", "G1", "C1")], inputs.wishlist.schema).createOrReplaceTempView("wishlist")
+    try:
+        with current_database(spark, database):
+            assert qualified(spark, "wishlist") == "wishlist"
+        hidden = catalog_inputs(spark, *names, database=database)
+        assert [r.cust_no for r in hidden.wishlist.collect()] == ["U7"]
+    finally:
+        spark.catalog.dropTempView("wishlist")
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        catalog_inputs(spark, *names)
+
+
+# ------------------------------------------------------------------------- fingerprints
+def test_fingerprints(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (None, "2")], "n int, s string")
+    assert fingerprint(a) == fingerprint(a.repartition(3).orderBy("s"))
+    assert fingerprint(a) != fingerprint(a.distinct()) and fingerprint(a).rows == 4
+    swapped = spark.createDataFrame([(1, "x"), (1, "x"), (2, "2"), (None, None)], "n int, s string")
+    assert fingerprint(a) != fingerprint(swapped)
+    assert fingerprint(a.limit(0)) == fingerprint(spark.createDataFrame([], "n int, s string"))
+
+
+def test_planted_repeats_are_found(spark):
+    plain = spark.range(1000).select((F.col("id") % 3).alias("b"), "id", F.when(F.col("id") > 5, F.lit("t")).alias("t"))
+    assert distinct_check(plain).first().asDict() == {"rows": 1000, "repeated_rows": 0, "same": True}
+    planted = plain.unionByName(plain.filter("id in (3, 4)")).unionByName(plain.filter("id = 4"))
+    assert distinct_check(planted).first().asDict() == {"rows": 1003, "repeated_rows": 3, "same": False}
+    per = {r.b: (r.rows, r.repeated_rows, r.same) for r in distinct_check(planted, by="b").collect()}
+    assert per == {0: (335, 1, False), 1: (335, 2, False), 2: (333, 0, True)}
+    assert distinct_check(plain.limit(0)).first().asDict() == {"rows": 0, "repeated_rows": 0, "same": True}
+
+
+def test_checks_report_repeats(spark, monkeypatch):
+    rec = Recommender(spark, micro_inputs(spark), Params())
+    checks = {r.check: r.value for r in rec.coverage_checks().collect()}
+    assert checks["lists_repeated"] == 0 and checks["bucket1_candidates"] > 0 == checks["bucket1_candidates_repeated"]
+    whole = rec.bucket_candidates_full()
+    monkeypatch.setattr(rec, "bucket_candidates_full", lambda: whole.unionByName(whole.filter("bucket = 1")))
+    again = {r.check: r.value for r in rec.coverage_checks().collect()}
+    assert again["bucket1_candidates_repeated"] == checks["bucket1_candidates"]
+    rec.close()
+
+
+# ------------------------------------------------------------------ runs that go on
+def test_a_lost_run_goes_on(spark, tmp_path, monkeypatch):
+    from wishrank.plans import recommend
+
+    inputs = micro_inputs(spark)
+    names = ("wishlist", "popularity", "promotion", "order_assoc", "rule_log")
+    for n in names:
+        getattr(inputs, n).write.parquet(f"{tmp_path}/{n}")
+    read = lambda: type(inputs)(*(spark.read.parquet(f"{tmp_path}/{n}") for n in names))
+    lost = Recommender.resumable(spark, read(), Params())
+    with monkeypatch.context() as m:
+        def dies(*_):
+            raise OSError("the driver is lost")
+
+        m.setattr(recommend.candidates, "assoc_best_top", dies)
+        with pytest.raises(OSError):
+            lost.final_lists()
+    assert set(lost.stage.written) == {"weighted", "assoc"}
+    # A stage cut off while it was written has rows, perhaps, but no mark.
+    os.remove(os.path.join(lost.stage.path("assoc").removeprefix("file:"), "_done.json"))
+    again = Recommender.resumable(spark, read(), Params())
+    assert again.stage.run_id == lost.stage.run_id
+    assert {r.custno: (r.recomdcount, r.recomdlist) for r in again.final_lists().collect()} == FINAL_B
+    assert set(again.stage.written) == {"assoc", "assoc_best_top", "wishlist_set", "binding"}
+    third = Recommender.resumable(spark, read(), Params())
+    third.final_lists()
+    assert third.stage.written == []
+    # Other parameters or other inputs are another run.
+    assert Recommender.resumable(spark, read(), Params(budget=7)).stage.run_id != again.stage.run_id
+    inputs.wishlist.limit(3).write.mode("append").parquet(f"{tmp_path}/wishlist")
+    assert Recommender.resumable(spark, read(), Params()).stage.run_id != again.stage.run_id
+    again.close()
+    with pytest.raises(ValueError):
+        Recommender.resumable(spark, inputs, Params())
+
+
+def test_driver_tables_resume(spark):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    first = Recommender.from_sf_dir(spark, sf, Params(budget=39), resume=True)
+    want = rows(first.final_lists())
+    second = Recommender.from_sf_dir(spark, sf, Params(budget=39), resume=True)
+    assert rows(second.final_lists()) == want and first.stage.written and second.stage.written == []
+    first.close()

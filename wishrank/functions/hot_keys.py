@@ -20,6 +20,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Most keys that count as hot, and what the sketch keeps track of.
 KEYS, TRACKED = 256, 8192
@@ -41,15 +42,26 @@ class HotKeys:
 
 
 def key_hash(*key: Column | str) -> Column:
-    """One long per key; collated strings hash by their collation."""
+    """One long per key."""
     return F.xxhash64(*key)
 
 
+def _collated(frame: DataFrame, key: list[Column]) -> bool:
+    kinds = [f.dataType for f in frame.select(*key).schema.fields]
+    return any(isinstance(k, StringType) and k.collation != "UTF8_BINARY" for k in kinds)
+
+
 def find_hot_keys(frame: DataFrame, nulls: bool = False, **keys: list[Column]) -> dict[str, HotKeys]:
     """Hot keys of ``frame`` (read once, so best a written stage) for each named key.
 
     Shares are of the rows whose key has no null part; ``nulls`` counts the others too.
+    Collated keys have no hot ones: equal spellings hash apart, so their joins stay plain and
+    are left to adaptive execution.
     """
+    out = {name: HotKeys() for name in keys}
+    keys = {name: key for name, key in keys.items() if not _collated(frame, key)}
+    if not keys:
+        return out
     tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def known(key: list[Column]) -> Column:
@@ -61,7 +73,6 @@ def find_hot_keys(frame: DataFrame, nulls: bool = False, **keys: list[Column]) -
         for name in keys
     ]
     row = hashes.agg(*sketches).first()
-    out = {}
     for name in keys:
         total = row[name]["rows"]
         least = max(TASKS / tasks, 1 / KEYS) * total

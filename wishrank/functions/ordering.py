@@ -42,4 +42,5 @@ def importance_key(col: Column | str, params: Params) -> Column:
 def ordered_list(item: str, *order: str) -> Column:
     """Comma-joined ``item`` values of a group in the given SQL order."""
     keys = ", ".join(order)
-    return F.expr(f"listagg({item}, '{LIST_SEP}') WITHIN GROUP (ORDER BY {keys})")
+    # Items of any collation are listed as they are spelled.
+    return F.expr(f"listagg(collate({item}, 'UTF8_BINARY'), '{LIST_SEP}') WITHIN GROUP (ORDER BY {keys})")

@@ -103,18 +103,19 @@ def bucket_candidates(
     With ``cut=False`` this is the full candidate table (``assoc``
     is the full per-goods association table).  With ``cut=True`` ``assoc`` is
     ``assoc_best_top`` and each row only takes entries that can still make its
-    quota q: association entries at position <= q of their goods' list, and
-    best-seller entries at position <= q + 1 of their list (an entry further
-    down has q + 1 entries ahead of it, at most one of which, the row's own
-    goods, is skipped).  Every stage after ``best_per_item`` is unchanged;
+    quota q (with ``backfill``: the whole budget): association entries at position <= q
+    of their goods' list, and best-seller entries at position <= q + 1 of their list (an
+    entry further down has q + 1 entries ahead of it, at most one of which, the row's
+    own goods, is skipped).  Every stage after ``best_per_item`` is unchanged;
     the cut table is not de-duplicated (``best_per_item`` ignores repeats).
     """
     hot = hot or {}
+    reach = F.lit(params.budget) if params.backfill else quota("bucket", params)
     rows = indexed.select("custno", "bucket", "goodindex", "goodscode").filter(F.col("goodscode").isNotNull())
     acols = ["goodscode", "recomdlist", "discounttype", "importance"] + (["pos"] if cut else [])
     by_assoc = keyed_join(rows, assoc.select(*acols), ["goodscode"], "inner", hot.get("goods"))
     if cut:
-        by_assoc = by_assoc.filter(F.col("pos") <= quota("bucket", params))
+        by_assoc = by_assoc.filter(F.col("pos") <= reach)
     by_assoc = by_assoc.select(*CAND_COLS)
 
     looks = _lookups(indexed, params).join(code_summaries(wset), ["custno", "level", "key"], "inner")
@@ -123,7 +124,7 @@ def bucket_candidates(
     )
     by_best = keyed_join(looks, b, ["level", "key"], "inner", hot.get("lists"))
     if cut:
-        by_best = by_best.filter(F.col("pos") <= quota("bucket", params) + 1)
+        by_best = by_best.filter(F.col("pos") <= reach + 1)
     by_best = (
         by_best.filter(~((F.col("gmin") == F.col("gmax")) & (F.col("gmin") == F.col("recomdlist"))))
         .select(
@@ -175,6 +176,29 @@ def quota_topk(best: DataFrame, params: Params) -> DataFrame:
     )
 
 
+def backfilled_items(best: DataFrame, params: Params) -> DataFrame:
+    """P19-P20 with unused quota poured into the customer's next best candidates.
+
+    Every indexed row ranks its items, and water rises over all of a customer's rows at
+    once: an item comes in at its best rank in any of them, until the budget is reached.
+    The quota lists are that water up to rank floor(budget / bucket), so their items always
+    come first; what overlaps and short rows left unused goes to the ranks above.  An item
+    has its lowest code and highest importance over the rows that rank it within the budget.
+    Two windows over the customer's partition, at most budget x max_items rows each.
+    """
+    key = importance_key("importance", params)
+    own = Window.partitionBy("custno", "bucket", "goodindex").orderBy(F.col("discounttype"), key.desc(), F.col("recomdlist"))
+    ranked = best.withColumn("_rank", F.row_number().over(own)).filter(F.col("_rank") <= params.budget)
+    merged = ranked.groupBy("custno", "recomdlist").agg(
+        F.min("_rank").alias("_level"),
+        F.min("discounttype").alias("discounttype"),
+        F.max(F.struct(key.alias("ik"), F.col("importance").alias("imp"))).alias("m"),
+    )
+    rising = Window.partitionBy("custno").orderBy("_level", "discounttype", F.desc("m.ik"), "recomdlist")
+    poured = merged.withColumn("_rn", F.row_number().over(rising)).filter(F.col("_rn") <= params.budget)
+    return poured.select("custno", "recomdlist", "discounttype", F.col("m.imp").alias("importance"))
+
+
 def merge_items(quota: DataFrame, params: Params) -> DataFrame:
     """P20: each (customer, item) once, with its lowest code and highest importance."""
     key = importance_key("importance", params)

@@ -1,7 +1,10 @@
 """Data-quality checks over the inputs and the results.
 
 One row per check: (check, value).  Each frame is read once: the wishlist by one
-grouped count, the filled set and the final lists by one aggregate each.
+grouped count, the filled set and the final lists by one aggregate each.  That a result
+equals its distinct rows is checked for the candidates of every bucket and the final lists,
+by the fingerprints of ``functions.fingerprint``: the number of repeated rows, or -1 where
+the counts agree and the contents do not.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fingerprint import distinct_check
+
 if TYPE_CHECKING:
     from ..plans.recommend import Recommender
 
@@ -46,5 +51,11 @@ def coverage_checks(rec: "Recommender") -> DataFrame:
         pairs = [F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("value")) for c in frame.columns]
         return frame.select(F.explode(F.array(*pairs)).alias("p")).select("p.check", "p.value")
 
-    rows = spread(wish).unionByName(spread(filled)).unionByName(spread(final))
-    return rows.groupBy("check").agg(F.sum("value").alias("value"))
+    repeated = F.when(F.col("same"), F.lit(0)).when(F.col("repeated_rows") > 0, F.col("repeated_rows")).otherwise(F.lit(-1))
+    buckets = distinct_check(rec.bucket_candidates_full(), by="bucket")
+    line = lambda what, value: F.struct(F.concat(F.lit("bucket"), F.col("bucket"), F.lit(what)).alias("check"), value.cast("long").alias("value"))
+    pairs = F.array(line("_candidates", F.col("rows")), line("_candidates_repeated", repeated))
+    per_bucket = buckets.select(F.explode(pairs).alias("p")).select("p.check", "p.value")
+    lists = distinct_check(rec.final).select(repeated.cast("long").alias("lists_repeated"))
+    rows = spread(wish).unionByName(spread(filled)).unionByName(spread(final)).unionByName(spread(lists))
+    return rows.groupBy("check").agg(F.sum("value").alias("value")).unionByName(per_bucket)

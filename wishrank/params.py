@@ -24,8 +24,11 @@ class Params:
     parent_backfill: bool = False
     # Look for hot join keys in written stages and deal their rows into pieces.
     split_hot: bool = True
-    # Compare codes without regard to case (they are lower-cased at ingest).
+    # Compare codes without regard to case (a collation; they keep their spelling).
     fold_case: bool = False
+    # Non-parity option: slots that short or overlapping quotas leave unused go to the
+    # customer's next best candidates, so a list has min(budget, candidates) items.
+    backfill: bool = False
     # Write stage results to the checkpoint folder between pipeline phases.
     materialize: bool = True
 

@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from ..functions.hot_keys import HotKeys, find_hot_keys
 from ..operators import buckets, candidates, checks, fill, flat, lists, promo
 from ..params import DEFAULT, Params
-from ..sources.inputs import CleanInputs, DerivedInputs, Inputs
+from ..sources.inputs import DERIVED_FROM, CleanInputs, DerivedInputs, Inputs
+from ..sources.tables import table_path
 from .stages import Stager
 
 
@@ -47,11 +48,22 @@ class Recommender:
         self.raw = inputs
 
     @classmethod
-    def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Recommender":
-        """A run over inputs derived from driver tables (staged with the run's stages)."""
-        stager = Stager(spark, params)
+    def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, resume: bool = False) -> "Recommender":
+        """A run over inputs derived from driver tables (staged with the run's stages).
+
+        With ``resume`` stages that an earlier, cut-off run over the same files with the same
+        parameters has finished are read instead of written.
+        """
+        paths = [table_path(sf_dir, t) for t in DERIVED_FROM]
+        stager = Stager.resumable(spark, params, paths) if resume else Stager(spark, params)
         return cls(spark, DerivedInputs(spark, sf_dir, params, stager), params, stager)
 
+    @classmethod
+    def resumable(cls, spark: SparkSession, inputs: Inputs, params: Params = DEFAULT) -> "Recommender":
+        """A run over tables kept in files (``catalog_inputs``) that resumes like the above."""
+        frames = (inputs.wishlist, inputs.popularity, inputs.promotion, inputs.order_assoc, inputs.rule_log)
+        return cls(spark, inputs, params, Stager.resumable(spark, params, [p for df in frames for p in df.inputFiles()]))
+
     def close(self) -> None:
         """Delete the stages of this run; its frames cannot be read afterwards."""
         self.stage.close()
@@ -181,8 +193,8 @@ class Recommender:
 
         After the cut a customer in bucket b has b rows with at most q
         association and 3 * (q + 1) best-seller entries each (q = budget // b),
-        at most 175 for the default budget, so even the largest customer fits
-        one task; best-per-item,
+        at most 175 for the default budget (with ``backfill`` q = budget, so at most 815),
+        so even the largest customer fits one task; best-per-item,
         quota, merge and the final list all group by customer first and run
         on this partitioning without another shuffle.
         """
@@ -201,6 +213,8 @@ class Recommender:
         return buckets.quota_topk(self.best_per_item(full=False), self.params)
 
     def merge_items(self) -> DataFrame:
+        if self.params.backfill:
+            return buckets.backfilled_items(self.best_per_item(full=False), self.params)
         return buckets.merge_items(self.quota_topk(), self.params)
 
     # ---------------------------------------------------------- lists

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import keyed_join
 from ..params import Params
 from . import tables
+from .context import current_database
 
 WISHLIST_COLS = ("cust_no", "goods_code", "category_code")
 POPULARITY_COLS = ("count", "goods_code", "category_code", "p2_category_code")
@@ -37,6 +38,10 @@ OUTLET = "Outlet"
 PROMO_MAX_SIZE, PROMO_REPEAT_MAX_SIZE = 15, 3
 
 
+#: The driver tables that the inputs are derived from.
+DERIVED_FROM = ("part", "lineitem", "orders")
+
+
 @dataclass(frozen=True)
 class Inputs:
     wishlist: DataFrame
@@ -191,6 +196,17 @@ class DerivedInputs:
         return self._stage(derive_rule_log(*self._args), "rule_log")
 
 
+def mixed_spellings(inputs) -> Inputs:
+    """The inputs with some wishlist categories in capitals and with blanks at the end.
+
+    Odd customers write them so; a job that folds case must not see a difference.
+    """
+    odd = F.col("cust_no").cast("long") % 2 == 1
+    category = F.when(odd, F.concat(F.upper("category_code"), F.lit("  "))).otherwise(F.col("category_code"))
+    wishlist = inputs.wishlist.withColumn("category_code", category)
+    return Inputs(wishlist, inputs.popularity, inputs.promotion, inputs.order_assoc, inputs.rule_log)
+
+
 def catalog_inputs(
     spark: SparkSession,
     wishlist: str,
@@ -198,20 +214,51 @@ def catalog_inputs(
     promotion: str,
     order_assoc: str,
     rule_log: str,
+    database: str | None = None,
 ) -> Inputs:
-    """Inputs from catalog tables or views (``table`` or ``database.table``)."""
-    return Inputs(
-        wishlist=spark.table(wishlist).select(*WISHLIST_COLS),
-        popularity=spark.table(popularity).select(*POPULARITY_COLS),
-        promotion=spark.table(promotion).select(*PROMOTION_COLS),
-        order_assoc=spark.table(order_assoc).select(*ORDER_ASSOC_COLS),
-        rule_log=spark.table(rule_log).select(*RULE_LOG_COLS),
-    )
+    """Inputs from catalog tables or views.
+
+    Names without a database mean temporary views first, then tables of ``database``, or of
+    the session's current one.
+    """
+    with current_database(spark, database):
+        return Inputs(
+            wishlist=spark.table(wishlist).select(*WISHLIST_COLS),
+            popularity=spark.table(popularity).select(*POPULARITY_COLS),
+            promotion=spark.table(promotion).select(*PROMOTION_COLS),
+            order_assoc=spark.table(order_assoc).select(*ORDER_ASSOC_COLS),
+            rule_log=spark.table(rule_log).select(*RULE_LOG_COLS),
+        )
+
+
+#: Compares strings without regard to case and trailing blanks, as the base tables do.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def _one_spelling(df: DataFrame, codes: list[str]) -> DataFrame:
+    """``df`` with every code of a column in that column's smallest spelling.
+
+    A column's spellings are one aggregate (a row per code), joined back by collation; only
+    codes with several spellings travel, so the join is small unless many have them.
+    """
+    columns = df.columns
+    for c in codes:
+        plain = F.collate(F.col(c), "UTF8_BINARY")
+        spelled = df.groupBy(c).agg(F.min(plain).alias("_least"), F.max(plain).alias("_most")).filter("_least <> _most")
+        spelled = spelled.select(F.col(c).alias("_code"), F.collate("_least", COLLATION).alias("_spelling"))
+        df = df.join(spelled, F.col(c) == F.col("_code"), "left")
+        df = df.select(*[F.coalesce("_spelling", c).alias(c) if c == k else F.col(k) for k in columns])
+    return df
 
 
 class CleanInputs:
     """The inputs with every code right-trimmed (codes were fixed-width CHAR(30), so
-    trailing blanks carry no meaning) and, with ``fold_case``, lower-cased.
+    trailing blanks carry no meaning).
+
+    With ``fold_case`` codes also get a collation that ignores case, which joins, windows,
+    aggregates and hashes follow from there on; they keep their spelling.  Where a column
+    spells a code in several ways, the smallest spelling (by bytes) stands for all, so
+    results do not depend on which row is read first.
 
     Rows without a customer stay; only the bucket stages leave them out.
     """
@@ -224,9 +271,11 @@ class CleanInputs:
             if name in ("count", "node_importance", "importance"):
                 return F.col(name) if name == "count" else F.rtrim(F.col(name)).alias(name)
             trimmed = F.rtrim(F.col(name))
-            return (F.lower(trimmed) if self.fold_case else trimmed).alias(name)
+            return (F.collate(trimmed, COLLATION) if self.fold_case else trimmed).alias(name)
 
-        return df.select(*[code(c) for c in columns])
+        cleaned = df.select(*[code(c) for c in columns])
+        codes = [c for c in columns if c not in ("count", "node_importance", "importance")]
+        return _one_spelling(cleaned, codes) if self.fold_case else cleaned
 
     @cached_property
     def wishlist(self) -> DataFrame:

@@ -2,7 +2,8 @@
 
 ``write_results`` stores the flat candidates, the flat top list, the flat
 result and the quota lists.  With ``database`` set they become catalog
-tables (``saveAsTable``); otherwise Parquet folders under ``path``.
+tables (``saveAsTable``); otherwise Parquet folders under ``path``.  ``publish_results`` keeps
+runs beside each other and lets readers switch between them (``publish.ResultStore``).
 Overwrite mode replaces a table that exists; the flat result is then built from
 the flat top list as written, so nothing is computed twice.
 """
@@ -14,7 +15,9 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 
+from ..functions.fingerprint import fingerprint
 from ..operators.flat import flat_result
+from .publish import ResultStore
 
 if TYPE_CHECKING:
     from ..plans.recommend import Recommender
@@ -34,6 +37,29 @@ def _write(df: DataFrame, name: str, path: str | None, database: str | None, mod
     return target
 
 
+def publish_results(rec: "Recommender", store: ResultStore, run_id: str, include_candidates: bool = True) -> dict[str, int]:
+    """Writes the result tables of a run beside those of others, then switches readers to it.
+
+    Repeating it with the same ``run_id`` replaces that run's rows.  Every table is read back
+    and held against what was to be written, by its fingerprint, before the switch; a job
+    that stops earlier leaves readers with the former run.  Returns {table: rows}.
+    """
+    topk = rec.stage(rec.flat_topk.select("CustNO", "item", "type"), "published_topk")
+    frames = {"flat_topk": topk, "flat_result": flat_result(topk), "final_lists": rec.final}
+    if include_candidates:
+        frames["flat_candidates"] = rec.flat_candidates().select("CustNO", "item", "type")
+    out = {}
+    for name, rows in frames.items():
+        rows = rec.stage(rows, f"published_{name}") if name != "flat_topk" else rows
+        store.put(run_id, name, rows)
+        wanted, written = fingerprint(rows), fingerprint(store.read(name, run_id).select(*rows.columns))
+        if wanted != written:
+            raise RuntimeError(f"{name} of run {run_id}: wrote {written}, wanted {wanted}")
+        out[name] = written.rows
+    store.publish(run_id)
+    return out
+
+
 def write_results(
     rec: "Recommender",
     path: str | None = None,
