@@ -173,10 +173,14 @@ def line_corpus(seed: int) -> list[tuple[int, str | None]]:
         rows.append((k, "\n".join(lines)))
     for k in range(8):
         rows.append((100 + k, rows[k * 3][1]))
+    for k in range(60 if seed > 4 else 0):  # groups of copies, whole, in part, or joined
+        a, b = ((rows[rng.randrange(5)][1] or "").split("\n") for _ in range(2))
+        lines = rng.choice([a, a[rng.randrange(len(a) + 1) :], a[: rng.randrange(len(a) + 1)], a + b, a + ["only here"] + a])
+        rows.append((300 + k if k % 2 else -300 - k, "\n".join(lines)))
     return rows + [(200, None), (201, ""), (202, "\n\n")]
 
 
-@pytest.mark.parametrize("seed,min_words", [(1, 10), (2, 5), (3, 16), (4, 1)])
+@pytest.mark.parametrize("seed,min_words", [(1, 10), (2, 5), (3, 16), (4, 1), (5, 10), (6, 4)])
 def test_line_dedup(spark, seed, min_words):
     rows = line_corpus(seed)
     gone = brute_lines(rows, min_words)
