@@ -270,3 +270,14 @@ def test_copies_with_blank_lines_go(spark):
     rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{b}\n"), (3, f"\n{a}\n \n{b}"), (4, ""), (5, "\n"), (6, None), (7, f"{b}\nx\n")]
     kept = line_dedup.drop_repeated_lines(documents(spark, rows)).collect()
     assert {r.doc_id: r.text for r in kept} == {1: rows[0][1], 4: "", 5: "\n", 6: None, 7: "x\n"}
+
+
+def test_words_of_one_checksum_stay_apart(spark):
+    """Two words of equal length and equal CRC-32 are different words."""
+    import zlib
+
+    a, b = "uejgtcuo", "iiwucoup"
+    assert zlib.crc32(a.encode()) == zlib.crc32(b.encode()) and len(a) == len(b)
+    rows = [(1, f"the big red {a} runs"), (2, f"the big red {b} runs"), (3, f"x the big red {a} runs the big red {b} runs")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.group_documents(documents(spark, rows)).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (7, 3)}

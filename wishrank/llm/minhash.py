@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import Scratch, slices
 from .components import components, forest
@@ -63,7 +63,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles.
+    """Sorted distinct 64-bit hashes of a text's word shingles, from 64-bit hashes of words.
 
     Words are split at ASCII white space after lower-casing A-Z.  A text with fewer
     than ``width`` words has one shingle, its whole sequence; without words, none.
@@ -72,10 +72,7 @@ def shingles(text: str | None, width: int = 5) -> np.ndarray:
     n = len(words)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=n)
-    h |= np.fromiter(map(len, words), dtype=np.uint64, count=n) << np.uint64(32)
-    h *= _MIX
-    h ^= h >> np.uint64(29)
+    h = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=n)
     width = min(width, n)
     out = np.full(n - width + 1, width, dtype=np.uint64)
     for k in range(width):
