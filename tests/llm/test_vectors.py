@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wishrank.llm import ann, embed_dedup
 from wishrank.llm.components import forest
@@ -114,7 +115,7 @@ def brute_nearest(rows, k):
 def test_nearest(spark):
     rows = vectors(seed=5, n=500)
     got = {}
-    for r in ann.nearest(table(spark, rows), table(spark, rows).vec_id % 10 == 0, settings=SMALL).collect():
+    for r in ann.nearest(table(spark, rows), F.col("vec_id") % 10 == 0, settings=SMALL).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     expected = brute_nearest(rows, 5)
     assert set(got) == set(expected)
@@ -132,7 +133,43 @@ def test_nearest(spark):
 
 def test_nearest_with_few_rows(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 1.0], None)]
-    got = [tuple(r) for r in ann.nearest(table(spark, rows), table(spark, rows).vec_id == 0).orderBy("rank").collect()]
+    first = F.col("vec_id") == 0
+    got = [tuple(r) for r in ann.nearest(table(spark, rows), first).orderBy("rank").collect()]
     assert [(q, k, i) for q, k, i, _ in got] == [(0, 1, 2), (0, 2, 1)]
-    assert ann.nearest(table(spark, []), table(spark, []).vec_id == 0).collect() == []
-    assert ann.nearest(table(spark, rows[:1]), table(spark, rows).vec_id == 0).collect() == []
+    assert ann.nearest(table(spark, []), first).collect() == []
+    assert ann.nearest(table(spark, rows[:1]), first).collect() == []
+
+
+def recall(spark, rows, asked):
+    """(rows per query, share of the five nearest found) at production settings; ties count by score."""
+    got = {}
+    for r in ann.nearest(table(spark, [(i, v, 0) for i, v in rows]), asked).collect():
+        got.setdefault(r.query_id, []).append(r.score)
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    hit = 0
+    for q, scores in got.items():
+        at = int(np.flatnonzero(ids == q)[0])
+        near = np.delete(x @ x[at], at)
+        fifth = np.sort(near)[-5]
+        hit += sum(s >= fifth - 1e-9 for s in scores)
+    return {len(s) for s in got.values()}, hit / (5 * len(got)), len(got)
+
+
+def test_single_vectors_beside_large_groups(spark):
+    """Groups of copies fill most leaves; single vectors among them get all their rows."""
+    rng = np.random.default_rng(9)
+    groups = rng.standard_normal((120, 16))
+    rows = [(1000 + k, groups[k % 120].tolist()) for k in range(12_000)] + [(k, rng.standard_normal(16).tolist()) for k in range(60)]
+    sizes, share, asked = recall(spark, rows, F.col("vec_id") < 60)
+    assert sizes == {5} and asked == 60 and share >= 0.9
+    sizes, share, asked = recall(spark, rows, F.col("vec_id") % 50 == 0)
+    assert sizes == {5} and asked == 242 and share >= 0.9
+
+
+def test_recall_over_the_whole_table(spark):
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pydict()
+    sizes, share, asked = recall(spark, list(zip(t["vec_id"], t["embedding"])), F.col("vec_id") % 50 == 0)
+    assert sizes == {5} and asked == 40 and share >= 0.9

@@ -6,7 +6,9 @@
 * Every row is indexed: it goes down the tree to a leaf.
 * A query visits leaves best bin first: a priority queue holds the unopened branches by
   their centre's distance, and the nearest is opened next.  How many leaves are visited is
-  widened until ``recall`` is reached on held-out sample queries against brute force.
+  widened until ``recall`` is reached on trial queries against brute force, for each class
+  of queries (by the size of the first leaf) on its own.  A query goes on beyond that
+  number until the leaves it has opened hold ``k`` rows besides itself.
 * Queries and rows of a leaf are cut into blocks, and a pair of blocks is a task's group,
   so a leaf that holds a third of all rows is spread out; each group keeps ``k`` rows per
   query, and a partial top-k closes the search.
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -33,49 +35,60 @@ class Settings:
     branch: int = 8
     leaf_rows: int = 48
     sample_rows: int = 20_000
-    trial_queries: int = 300  # held out of the tree's sample
+    trial_queries: int = 300  # held out of the tree's sample, and at most so many more of each class
     recall: float = 0.95
     block_rows: int = 8_192
     block_queries: int = 1_024
 
 
-@dataclass
-class Node:
-    centres: np.ndarray | None = None
-    children: list["Node"] = field(default_factory=list)
-    leaf: int = -1
-
-
-@dataclass
-class Tree:
-    root: Node
-    leaves: int
-
-    def assign(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of every row of ``x`` (unit vectors)."""
-        out = np.zeros(len(x), dtype=np.int64)
-        todo = [(self.root, np.arange(len(x)))]
-        while todo:
-            node, rows = todo.pop()
-            if node.centres is None:
-                out[rows] = node.leaf
-                continue
-            nearest = _distances(x[rows], node.centres).argmin(axis=1)
-            todo += [(child, rows[nearest == k]) for k, child in enumerate(node.children) if (nearest == k).any()]
-        return out
-
-    def visits(self, q: np.ndarray, limit: int) -> list[int]:
-        """The first ``limit`` leaves of a query, best bin first."""
-        heap, tie, out = [(0.0, 0, self.root)], 0, []
-        while heap and len(out) < limit:
-            _, _, node = heapq.heappop(heap)
-            if node.centres is None:
-                out.append(node.leaf)
-                continue
-            for d, child in zip(_distances(q[None, :], node.centres)[0].tolist(), node.children):
-                tie += 1
-                heapq.heappush(heap, (d, tie, child))
-        return out
+#: A tree as plain arrays, which travel to tasks as they are: per node its centre, its first
+#: child and their number, its leaf (-1: none); per leaf the rows of the sample in it.
+Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def assign(tree: Tree, x: np.ndarray) -> np.ndarray:
+    """The leaf of every row of ``x`` (unit vectors)."""
+    centres, first, count, leaf, _ = tree
+    out = np.zeros(len(x), dtype=np.int64)
+    todo = [(0, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        if leaf[node] >= 0:
+            out[rows] = leaf[node]
+            continue
+        children = slice(first[node], first[node] + count[node])
+        nearest = _distances(x[rows], centres[children]).argmin(axis=1)
+        todo += [(int(first[node]) + k, rows[nearest == k]) for k in range(int(count[node])) if (nearest == k).any()]
+    return out
+
+
+def visits(tree: Tree, q: np.ndarray, limit: np.ndarray | None = None, rows: np.ndarray | None = None, need: int = 0) -> list[int]:
+    """Leaves of a query, best bin first.
+
+    ``limit`` has the number of leaves to visit by the class of the first one (``None``: all
+    of them); the search goes on beyond it while the leaves hold fewer than ``need`` rows.
+    """
+    centres, first, count, leaf, size = tree
+    heap, tie, out, held, most = [(0.0, 0, 0)], 0, [], 0, len(size)
+    while heap and (len(out) < most or held < need):
+        _, _, node = heapq.heappop(heap)
+        if leaf[node] >= 0:
+            out.append(int(leaf[node]))
+            if rows is not None:
+                held += int(rows[leaf[node]])
+            if limit is not None and len(out) == 1:
+                most = int(limit[leaf_class(size[leaf[node]])])
+            continue
+        children = range(int(first[node]), int(first[node] + count[node]))
+        for d, child in zip(_distances(q[None, :], centres[children.start : children.stop])[0].tolist(), children):
+            tie += 1
+            heapq.heappush(heap, (d, tie, child))
+    return out
+
+
+def leaf_class(size: int) -> int:
+    """Leaves by the rows of the sample in them: none or one, two or three, four to seven, ..."""
+    return max(int(size), 1).bit_length() - 1
 
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -94,35 +107,65 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
 
 
 def build(x: np.ndarray, s: Settings, seed: int = 7) -> Tree:
-    """A tree over the rows of ``x`` (unit vectors of the sample)."""
-    rng, leaves = np.random.default_rng(seed), 0
-
-    def grow(rows: np.ndarray) -> Node:
-        nonlocal leaves
+    """A tree over the rows of ``x`` (unit vectors of the sample), level by level."""
+    rng = np.random.default_rng(seed)
+    centres, first, count, leaf, size = [np.zeros(x.shape[1])], [0], [0], [-1], []
+    todo = [(0, np.arange(len(x)))]
+    for node, rows in todo:  # grows while it is read
+        used = np.zeros(0, dtype=np.int64)
         if len(rows) > max(s.leaf_rows, s.branch):
-            centres, own = _kmeans(x[rows], s.branch, rng)
+            found, own = _kmeans(x[rows], s.branch, rng)
             used = np.unique(own)
-            if len(used) > 1:
-                return Node(centres[used], [grow(rows[own == k]) for k in used])
-        leaves += 1
-        return Node(leaf=leaves - 1)
-
-    root = grow(np.arange(len(x)))
-    return Tree(root, leaves)
-
-
-def calibrate(tree: Tree, x: np.ndarray, queries: np.ndarray, k: int, recall: float) -> int:
-    """Leaves to visit so that ``recall`` of the queries' ``k`` nearest rows of ``x`` are found."""
-    if not len(queries) or len(x) < k:
-        return tree.leaves
-    leaf = tree.assign(x)
-    nearest = np.argpartition(-(queries @ x.T), k - 1, axis=1)[:, :k]
-    needed = []
-    for q, rows in zip(queries, nearest):
-        place = np.empty(tree.leaves, dtype=np.int64)
-        place[tree.visits(q, tree.leaves)] = np.arange(1, tree.leaves + 1)
-        needed.extend(place[leaf[rows]].tolist())
-    return int(np.quantile(needed, recall, method="higher"))
+        if len(used) < 2:
+            leaf[node] = len(size)
+            size.append(len(rows))
+            continue
+        first[node], count[node] = len(leaf), len(used)
+        for k in used:
+            todo.append((len(leaf), rows[own == k]))
+            centres.append(found[k])
+            first.append(0)
+            count.append(0)
+            leaf.append(-1)
+    return np.array(centres), *(np.array(c, dtype=np.int64) for c in (first, count, leaf, size))
+
+
+def calibrate(tree: Tree, x: np.ndarray, held: int, k: int, s: Settings) -> np.ndarray:
+    """Leaves to visit, by the class of a query's first leaf, so that ``recall`` of the ``k``
+    nearest rows of ``x`` are found.
+
+    The first ``held`` rows, which the tree was not fitted on, are trial queries, and of the
+    others up to ``trial_queries`` of each class: a class that few rows belong to, such as
+    that of single vectors beside large groups, has its own number.  Where a class has
+    hardly any trial queries, what the worst of them needed counts; a class with none takes
+    the largest number of all.
+    """
+    leaf = assign(tree, x)
+    kinds = np.array([leaf_class(n) for n in tree[4]])[leaf]
+    most = np.full(64, len(tree[4]), dtype=np.int64)
+    if len(x) <= k:
+        return most
+    known = []
+    for kind in np.unique(kinds).tolist():
+        own = np.flatnonzero(kinds == kind)
+        trial = own[: s.trial_queries] if len(own) <= s.trial_queries else np.concatenate([own[own < held], own[own >= held][: s.trial_queries]])
+        needed = []
+        for at in range(0, len(trial), 64):
+            some = trial[at : at + 64]
+            near = x[some] @ x.T
+            near[np.arange(len(some)), some] = -np.inf
+            nearest = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            for q, rows in zip(x[some], nearest):
+                place = np.empty(len(tree[4]), dtype=np.int64)
+                place[visits(tree, q)] = np.arange(1, len(tree[4]) + 1)
+                needed.append(place[leaf[rows]])
+        needed = np.concatenate(needed)
+        few = len(trial) < 20
+        most[kind] = int(needed.max() if few else np.quantile(needed, s.recall, method="higher"))
+        known.append(kind)
+    others = np.setdiff1d(np.arange(64), known)
+    most[others] = most[known].max()
+    return most
 
 
 def nearest(
@@ -159,21 +202,26 @@ def nearest(
     sample = sample[np.random.default_rng(3).permutation(len(sample))]
     held = min(s.trial_queries, len(sample) // 10)
     tree = build(sample[held:], s)
-    visits = calibrate(tree, sample[held:], sample[:held], k, s.recall)
-    shared = spark.sparkContext.broadcast(tree)
+    limit = calibrate(tree, sample, held, k, s)
+    shared = spark.sparkContext.broadcast(tree)  # its size depends on the sample alone
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaf = shared.value.assign(unit(matrix(batch.column(2)))) if batch.num_rows else np.zeros(0, dtype=np.int64)
+            leaf = assign(shared.value, unit(matrix(batch.column(2)))) if batch.num_rows else np.zeros(0, dtype=np.int64)
             yield pa.record_batch([*batch.columns, pa.array(leaf)], names=["rid", "vec_id", "vec", "leaf"])
 
     def open_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.visits(q, visits) for q in unit(matrix(batch.column(2)))] if batch.num_rows else []
+            tree, rows = opened_by.value
+            found = [visits(tree, q, limit, rows, k + 1) for q in unit(matrix(batch.column(2)))] if batch.num_rows else []
             yield pa.record_batch([*batch.columns, pa.array(found, type=pa.list_(pa.int64()))], names=["rid", "vec_id", "vec", "leaves"])
 
     columns = "rid long, vec_id long, vec array<double>"
     indexed = scratch.write(base.select("rid", "vec_id", "vec").mapInArrow(index, f"{columns}, leaf long"), "index")
+    held_rows = np.zeros(len(tree[4]), dtype=np.int64)
+    for r in indexed.groupBy("leaf").count().collect():  # at most one row per leaf
+        held_rows[r["leaf"]] = r["count"]
+    opened_by = spark.sparkContext.broadcast((tree, held_rows))
     asked = scratch.write(base.filter("query").select("rid", "vec_id", "vec").mapInArrow(open_leaves, f"{columns}, leaves array<long>"), "queries")
     opened = asked.select("rid", "vec_id", "vec", F.explode("leaves").alias("leaf"))
 
