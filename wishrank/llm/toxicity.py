@@ -60,10 +60,6 @@ class Weights:
     bias: float
     bits: int
 
-    def table(self) -> np.ndarray:
-        dense = np.zeros(1 << self.bits, dtype=np.float32)
-        dense[self.index] = self.value
-        return dense
 
 
 def coordinates(text: str | None, bits: int) -> np.ndarray:
@@ -181,17 +177,19 @@ def score(docs: DataFrame, weights: Weights, threshold: float = 0.3, text: str =
     row gives a row.  The columns of ``docs`` stay inside ``row``, so no name can clash.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    # Plain arrays: workers need not know this package.
+    shared = docs.sparkSession.sparkContext.broadcast((weights.index, weights.value, weights.bias, weights.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        table = model.table()
+        index, value, bias, bits = shared.value
+        table = np.zeros(1 << bits, dtype=np.float32)
+        table[index] = value
         for batch in slices(batches):
             sums = np.empty(batch.num_rows)
             for k, body in enumerate(pa.compute.struct_field(batch.column(0), text).to_pylist()):
-                at = coordinates(body, model.bits)
+                at = coordinates(body, bits)
                 sums[k] = table[np.unique(at[table[at] != 0])].sum(dtype=np.float64)
-            p = 1.0 / (1.0 + np.exp(-np.clip(sums + model.bias, -30, 30)))
+            p = 1.0 / (1.0 + np.exp(-np.clip(sums + bias, -30, 30)))
             yield pa.record_batch([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["row", "score", "predicted"])
 
     schema = T.StructType([*rows.schema.fields]).add("score", "double").add("predicted", T.IntegerType())
