@@ -172,3 +172,14 @@ def test_piece_codec(spark, docs, no_docs):
         expected[i, tuple(ids), digest(lib.decode(ids) if ids else "")] += 1
     assert got == expected
     assert piece_codec.encode(no_docs, PIECES).collect() == []
+
+
+def test_long_chunks_are_joined_not_sent(spark):
+    """Repeated long lines without spaces count right, whatever their frequency."""
+    from .data import documents
+
+    line = "中文" * 300
+    rows = [(k, f"{line}\n{line}\nshort words {k % 3}") for k in range(40)]
+    enc = bpe.load(RANKS)
+    want = Counter((k, len(t.encode()), len(enc.encode_ordinary(t)), len(enc.encode_ordinary(t)) > 1024) for k, t in rows)
+    assert Counter(map(tuple, token_counts.count_tokens(documents(spark, rows), RANKS).collect())) == want

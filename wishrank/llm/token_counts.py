@@ -37,6 +37,8 @@ from .common import Scratch, slices
 
 #: Chunks that are broadcast with their counts (about 30 MB in a worker).
 FREQUENT = 200_000
+#: Longer chunks are never broadcast.
+SENT_BYTES = 64
 #: Distinct chunks that a task adds up before it hands them on.
 FLUSH = 200_000
 
@@ -117,7 +119,8 @@ def count_tokens(
     counted = texts.select("text").mapInArrow(add_up, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
     known = scratch.write(counted.mapInArrow(measure, "chunk string, n long, pieces long"), "chunks")
     # The largest frequency classes that hold at most ``frequent`` chunks together.
-    leveled = known.withColumn("level", F.floor(F.log2("n") * 8))
+    # Long chunks (whole lines of texts without spaces) always join, so what is sent is bounded in bytes.
+    leveled = known.filter(F.octet_length("chunk") <= SENT_BYTES).withColumn("level", F.floor(F.log2("n") * 8))
     room, least = frequent, 1 << 30
     for r in sorted(leveled.groupBy("level").count().collect(), key=lambda r: -r["level"]):
         if r["count"] > room:
