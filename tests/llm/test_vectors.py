@@ -64,9 +64,10 @@ def brute_links(rows, threshold):
     return Counter((i, n[k], ids.get(find(k))) for k, (i, _, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("tile,threshold", [(4096, 0.93), (20, 0.93), (50, 0.8)])
-def test_links(spark, monkeypatch, tile, threshold):
+@pytest.mark.parametrize("tile,threshold,tile_bytes", [(4096, 0.93, 16 << 20), (20, 0.93, 16 << 20), (50, 0.8, 16 << 20), (4096, 0.93, 8 * 16 * 70)])
+def test_links(spark, monkeypatch, tile, threshold, tile_bytes):
     monkeypatch.setattr(embed_dedup, "TILE", tile)
+    monkeypatch.setattr(embed_dedup, "TILE_BYTES", tile_bytes)
     rows = vectors()
     got = Counter(map(tuple, embed_dedup.link_vectors(table(spark, rows), threshold).collect()))
     assert got == brute_links(rows, threshold)
@@ -90,6 +91,49 @@ def test_calibrated_count_keeps_pairs_at_the_threshold():
     assert set(range(4000)) <= {a for a, b in zip(i, j) if a == b}
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_windows_count_every_collision(same):
+    """Sorted windows give the pairs that a plain count over all pairs and lines gives, block by block."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal((9, 24))
+    x, y = (embed_dedup.unit(centre[rng.integers(0, 9, n)] + rng.choice([0.0, 0.1, 0.3], (n, 1)) * rng.standard_normal((n, 24))) for n in (700, 300))
+    y = x if same else y
+    lines, half = embed_dedup.directions(24)[:, 1:], embed_dedup.WINDOW * np.sqrt(2 - 2 * 0.93)
+    need = embed_dedup.least_count()
+    count = sum((np.abs(a[:, None] - b[None, :]) <= half).astype(int) for a, b in zip((x @ lines).T, (y @ lines).T))
+    i, j = np.nonzero((count >= need) & (x @ y.T >= 0.93))
+    expected = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if not same or a < b}
+    blocks = list(embed_dedup.link_blocks(x, y, same, 0.93, need))
+    assert len(blocks) > 1 and expected
+    pairs = [p for i, j in blocks for p in zip(i.tolist(), j.tolist())]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == expected
+
+
+def test_joined_forests_equal_one():
+    rng = np.random.default_rng(6)
+    i, j = rng.integers(0, 200, 150), rng.integers(0, 200, 150)
+    root = np.arange(200)
+    for at in range(0, 150, 40):
+        root = embed_dedup.grown(root, i[at : at + 40], j[at : at + 40])
+    assert (root == forest(200, i, j)).all()
+
+
+def test_tile_of_near_copies_stays_small():
+    """Near copies of dimension 768, a tile's worth: all pairs link, and no more than a block of them is held."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    n = embed_dedup.TILE_BYTES // (8 * 768)
+    x = embed_dedup.unit(rng.standard_normal(768) + 0.02 * rng.standard_normal((n, 768)))
+    root, links = np.arange(n), 0
+    tracemalloc.start()
+    for i, j in embed_dedup.link_blocks(x, x, True, 0.93, embed_dedup.least_count()):
+        root, links = embed_dedup.grown(root, i, j), links + len(i)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links == n * (n - 1) // 2 and not root.any() and peak < 250 << 20
+
+
 def test_forest():
     rng = random.Random(3)
     i = np.array([rng.randrange(100) for _ in range(60)])

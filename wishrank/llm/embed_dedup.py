@@ -11,8 +11,9 @@ calibrated so that a pair exactly at the threshold is missed with probability ``
   size is one row in all that follows.
 * Nodes are dealt by their place on a first line, sorted into strips as wide as its
   (wider) window: a node's window lies within its own and the two strips beside it.
-  Strips are cut into tiles of bounded size, and each pair of tiles is a task's group;
-  collisions are counted there on whole blocks of values, never as rows.
+  Strips are cut into tiles bounded in rows and bytes, and each pair of tiles is a
+  task's group: every line is sorted there, windows are found by binary search, and
+  collisions are counted per partner of one row at a time, never as rows.
 * A group hands on, per node, its number of links, and a spanning forest of them instead
   of all linked pairs.  Components are joined up by alternating stars.
 
@@ -42,8 +43,9 @@ WINDOW = 1.5
 #: The same for the line that deals nodes into strips.
 STRIP = 5.5
 MISS = 1e-6
-#: Nodes of one tile.
+#: Nodes of one tile, and bytes of its vectors as doubles.
 TILE = 4096
+TILE_BYTES = 16 << 20
 _BLOCK = 256
 
 
@@ -67,29 +69,58 @@ def directions(dim: int, lines: int = LINES) -> np.ndarray:
     return np.random.default_rng(1_000_003 + dim).standard_normal((dim, lines + 1))
 
 
-def linked(x: np.ndarray, y: np.ndarray, same: bool, threshold: float, need: int) -> tuple[np.ndarray, np.ndarray]:
+def link_blocks(
+    x: np.ndarray, y: np.ndarray, same: bool, threshold: float, need: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows of ``x`` and ``y`` (unit vectors) that collide on at least
-    ``need`` lines and have a cosine of at least ``threshold``; i < j if ``same``."""
-    half = np.float32(WINDOW * math.sqrt(2 - 2 * threshold))
+    ``need`` lines and have a cosine of at least ``threshold``; i < j if ``same``.
+
+    The projections of ``y`` are sorted once per line; a row of ``x`` finds its window
+    there by binary search, and its collisions are counted per partner.  A block of rows
+    of ``x`` is verified and handed on at a time, so memory does not grow with the links.
+    """
+    half = WINDOW * math.sqrt(2 - 2 * threshold)
     lines = directions(x.shape[1])[:, 1:]
-    px, py = ((m @ lines).T.astype(np.float32) for m in (x, y))
-    left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    px, py = (x @ lines).T, (y @ lines).T
+    order = np.argsort(py, axis=1)
+    value = np.take_along_axis(py, order, axis=1)
     for at in range(0, len(x), _BLOCK):
         end = min(len(x), at + _BLOCK)
-        start = at if same else 0  # rows before are covered by earlier blocks
-        count = np.zeros((end - at, len(y) - start), dtype=np.int8)
-        for a, b in zip(px, py):
-            count += np.abs(a[at:end, None] - b[None, start:]) <= half
-        i, j = np.nonzero(count >= need)
-        i, j = i + at, j + start
+        if same and at:  # rows before met these in their own blocks
+            rest = order >= at
+            order, value = (m[rest].reshape(len(m), -1) for m in (order, value))
+        low = np.array([np.searchsorted(v, p[at:end] - half) for v, p in zip(value, px)]).T
+        high = np.array([np.searchsorted(v, p[at:end] + half, side="right") for v, p in zip(value, px)]).T
+        met = []
+        for row_low, row_high in zip(low.tolist(), high.tolist()):
+            window = np.concatenate([o[a:b] for o, a, b in zip(order, row_low, row_high)])
+            met.append(np.flatnonzero(np.bincount(window, minlength=len(y)) >= need))
+        i, j = np.repeat(np.arange(at, end), [len(m) for m in met]), np.concatenate(met)
         if same:
             i, j = i[i < j], j[i < j]
-        near = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
-        left.append(i[near])
-        right.append(j[near])
+        if not len(j):
+            continue
+        partners, place = np.unique(j, return_inverse=True)
+        near = (x[at:end] @ y[partners].T)[i - at, place] >= threshold
+        yield i[near], j[near]
+
+
+def linked(x: np.ndarray, y: np.ndarray, same: bool, threshold: float, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``link_blocks`` at once."""
+    none = np.zeros(0, dtype=np.int64)
+    left, right = zip((none, none), *link_blocks(x, y, same, threshold, need))
     return np.concatenate(left), np.concatenate(right)
 
 
+def grown(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The forest ``root`` (per place the smallest place of its component) with pairs (i, j) added."""
+    a, b = root[i], root[j]
+    apart = a != b
+    if not apart.any():
+        return root
+    return forest(len(root), np.concatenate([np.arange(len(root)), a[apart]]), np.concatenate([root, b[apart]]))
+
+
 def _strips(nodes: DataFrame, threshold: float) -> DataFrame:
     wide = STRIP * math.sqrt(2 - 2 * threshold)
 
@@ -123,7 +154,8 @@ def link_vectors(rows: DataFrame, threshold: float = 0.93, scratch: Scratch | No
         "node", "vec", "copies", F.struct("label", F.size("vec").alias("dim")).alias("space"), "strip"
     )
     placed = scratch.write(placed, "placed")
-    cells = placed.groupBy("space", "strip").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    tile = F.least(F.lit(TILE), F.greatest(F.lit(64), F.floor(F.lit(TILE_BYTES) / (8 * F.col("space.dim")))))
+    cells = placed.groupBy("space", "strip").agg(F.count("*").alias("n")).select("space", "strip", F.ceil(F.col("n") / tile).alias("tiles"))
     beside = cells.select("space", (F.col("strip") - 1).alias("strip"), F.col("tiles").alias("tiles_next"))
     before = cells.select("space", (F.col("strip") + 1).alias("strip"), F.col("tiles").alias("tiles_before"))
     dealt = (
@@ -160,13 +192,13 @@ def link_vectors(rows: DataFrame, threshold: float = 0.93, scratch: Scratch | No
             return pd.DataFrame({"node": [], "links": [], "root": []}, dtype="int64")
         a = unit(np.stack(x["vec"].to_numpy()).astype(np.float64))
         b = a if same else unit(np.stack(y["vec"].to_numpy()).astype(np.float64))
-        i, j = linked(a, b, same, threshold, need)
-        shift = 0 if same else len(x)
-        j = j + shift
-        both = x if same else pd.concat([x, y])
-        node, copies = both["node"].to_numpy(), both["copies"].to_numpy()
-        links = np.bincount(i, weights=copies[j], minlength=len(both)) + np.bincount(j, weights=copies[i], minlength=len(both))
-        root = forest(len(both), i, j)
+        both = (x if same else pd.concat([x, y]))[["node", "copies"]]
+        node, copies, n = both["node"].to_numpy(), both["copies"].to_numpy(), len(both)
+        links, root = np.zeros(n), np.arange(n)
+        for i, j in link_blocks(a, b, same, threshold, need):
+            j = j if same else j + len(x)
+            links += np.bincount(i, weights=copies[j], minlength=n) + np.bincount(j, weights=copies[i], minlength=n)
+            root = grown(root, i, j)
         k = np.flatnonzero(links)
         return pd.DataFrame({"node": node[k], "links": links[k].astype(np.int64), "root": node[root[k]]})
 
