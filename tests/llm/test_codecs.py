@@ -92,6 +92,83 @@ def test_character_map_takes_the_longest_prefix():
     assert m.longest(b"cab", 1) == (2, b"yz")
 
 
+def compiled_map(rules: dict[bytes, bytes]) -> bytes:
+    """A compiled character map of replacements (no zero bytes): a double array with one
+    block of 256 units per trie node, and one leaf unit per rule."""
+    nodes = sorted({k[:n] for k in rules for n in range(len(k) + 1)})
+    # Children of a node sit at its block xor their byte; a block's place 0 is its leaf.
+    block = {p: 256 * (k + 1) for k, p in enumerate(nodes)}
+    units, strings = [0] * (256 * (len(nodes) + 1)), b""
+    spot = {b"": 0}
+    for p in nodes:
+        if p:
+            spot[p] = block[p[:-1]] ^ p[-1]
+        jump = spot[p] ^ block[p]
+        coded = jump << 10 if jump < 1 << 21 else (jump >> 8) << 10 | 1 << 9
+        units[spot[p]] = coded | (p[-1] if p else 0) | (p in rules) << 8
+        if p in rules:
+            units[block[p]] = 1 << 31 | len(strings)
+            strings += rules[p] + b"\0"
+    return np.array([4 * len(units), *units], dtype="<u4").tobytes() + strings
+
+
+RULES = {"ﬁ": "fi", "Ａ": "A", "a": "b", "ab": "the", "abc": "", "½": "1/2", "é": "e"}
+
+
+@pytest.fixture(scope="module")
+def mapped_model(tmp_path_factory) -> str:
+    """The given model with a character map of its own."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(PIECES, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.normalizer_spec.precompiled_charsmap = compiled_map({k.encode(): v.encode() for k, v in RULES.items()})
+    path = tmp_path_factory.mktemp("model") / "mapped.model"
+    path.write_bytes(proto.SerializeToString())
+    return str(path)
+
+
+def plainly_mapped(text: str) -> tuple[str, list[int]]:
+    """The text after longest-prefix replacement and, per byte of it, where it came from."""
+    out, origin, at = "", [], 0
+    while at < len(text):
+        key = max((k for k in RULES if text.startswith(k, at)), key=len, default=text[at])
+        new = RULES.get(key, key)
+        origin += [len(text[:at].encode())] * len(new.encode())
+        out, at = out + new, at + len(key)
+    return out, origin
+
+
+def test_a_character_map_moves_the_spans(mapped_model):
+    codec, rng = piece_codec.Codec(mapped_model), random.Random(8)
+    bits = [*RULES, " ", "  ", "x", "中", "😀", "the", "\n", "abab", "ca"]
+    for _ in range(300):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 12)))
+        (ids,) = codec.encode([text])
+        assert ids.tolist() == codec.lib.encode(text)
+        normal, origin = plainly_mapped(text)
+        length, aligned = codec.normalise(text)
+        # Spaces become marks of three bytes, and one stands in front.
+        expected = [0] * 3 + [o for o, c in zip(origin, normal.encode()) for _ in range(3 if c == 0x20 else 1)]
+        assert length == len(expected) and aligned.tolist() == expected + [len(text.encode())]
+        if not normal:
+            continue
+        begins, ends = codec.spans(text, ids)
+        assert (begins <= ends).all() and (begins[1:] == ends[:-1]).all() and ends[-1] == len(text.encode())
+
+
+def test_encode_with_a_character_map(spark, docs, mapped_model):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=mapped_model)
+    got = piece_codec.encode(docs, mapped_model).collect()
+    expected = Counter((i, tuple(library.encode(t or ""))) for i, t in corpus())
+    assert Counter((r.doc_id, tuple(r.ids)) for r in got) == expected
+    last = Counter((i, len((t or "").encode())) for i, t in corpus() if t)
+    assert Counter((r.doc_id, r.ends[-1]) for r in got if r.ends) == last
+
+
 def test_fill_patterns_use_every_piece_once():
     rng = random.Random(1)
     for _ in range(60):

@@ -10,8 +10,10 @@ import numpy as np
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from wishrank.llm import license_scan, sharding, toxicity
+from wishrank.llm.common import Scratch
 
 from .data import corpus, documents, docs, no_docs, words  # noqa: F401
 
@@ -79,6 +81,34 @@ def test_sharding_starts_in_two_levels(spark, docs, monkeypatch):
     assert len({(r.shard, r.slot) for r in got}) == len(corpus())
 
 
+def test_many_buckets_in_few_partitions(spark, docs, monkeypatch):
+    """Partitions that hold many buckets give the same rows and places (their order in a bucket
+    is drawn per partition), and the same again on a second run; one bucket is in memory at a time."""
+    name = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(name)
+    staged = Scratch(spark, "test").write(docs)
+    plain = sharding.shuffle_into_shards(staged, 3, bucket_bytes=1024).collect()
+    monkeypatch.setattr(sharding, "PARTITIONS", 2)
+    few, again = (sharding.shuffle_into_shards(staged, 3, bucket_bytes=1024).collect() for _ in range(2))
+    assert Counter(few) == Counter(again)
+    assert Counter(r.row for r in few) == Counter(r.row for r in plain)
+    assert sorted((r.shard, r.slot) for r in few) == sorted((r.shard, r.slot) for r in plain)
+    assert spark.conf.get(name) == before
+    with sharding.one_group_at_a_time(spark):
+        plan = docs.groupBy("doc_id").agg(F.collect_list("text"))._jdf.queryExecution().toString()
+    assert "SortAggregate" in plan and "ObjectHashAggregate" not in plan
+
+
+def test_buckets_count_every_column(spark):
+    schema = "a string, b binary, c array<string>, d array<double>, e long, `f g` map<int, int>"
+    rows = [("x" * 5000, b"y" * 300, ["z" * 700], [1.0] * 10, 1, {1: 2}), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    sizes = [r[0] for r in df.select(sharding.row_bytes(df)).collect()]
+    assert 6000 < sizes[0] < 6500 and 64 <= sizes[1] < 200
+    assert sharding.bucket_count(df, 1000) == 1 + sum(sizes) // 1000
+    assert sharding.bucket_count(df.limit(0), 1000) == 1
+
+
 def test_sharding_uses_no_python(spark, docs):
     plan = sharding.shuffle_into_shards(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

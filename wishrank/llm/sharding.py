@@ -6,11 +6,13 @@ memory-sized buckets by a seeded hash; the second shuffles each bucket in memory
 after the other gives a uniform permutation of all rows, and shard ``s`` is the
 ``s``-th of ``n`` runs of that permutation, with row counts at most one apart.
 
-* The hash is taken over the row's position in its input split and its id, so equal
-  rows, null ids and a source that holds a third of all rows scatter like any others.
+* The hash is taken over the row's position in its input split, so equal rows, null
+  ids and a source that holds a third of all rows scatter like any others.
   The position is stable for files and written tables; stage other inputs first.
 * The number of buckets grows with the input's bytes, so a bucket stays the size of
-  ``bucket_bytes`` and is the only thing that one task holds.
+  ``bucket_bytes``.  A task reads its buckets sorted by bucket (Spark spills there) and
+  holds one at a time, so shuffle partitions may hold many: beyond ``PARTITIONS`` of
+  them, they take more buckets each.
 * Bucket sizes are turned into start positions by running sums in two levels (within
   ``GROUP`` buckets, then over groups), so no task reads all of them at scale.
 * The shuffled buckets are a written table: positions drawn once stay, and a lost
@@ -19,8 +21,13 @@ after the other gives a uniform permutation of all rows, and shard ``s`` is the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch
 
@@ -28,14 +35,45 @@ from .common import Scratch
 GROUP = 1_000
 #: Bucket starts that are broadcast.
 BROADCAST_BUCKETS = 1_000_000
-
-
-def bucket_count(df: DataFrame, bucket_bytes: int, text: str) -> int:
+#: Shuffle partitions of the first pass, at most.
+PARTITIONS = 50_000
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: strings and binaries by length, arrays and maps by entries."""
+    parts = [F.lit(64).cast("long")]
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+            size = F.octet_length(F.array_join(c, "")) + 16 * F.size(c)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType)):
+            size = 16 * F.size(c)
+        else:
+            size = F.lit(8)
+        parts.append(F.coalesce(F.greatest(size, F.lit(0)), F.lit(0)).cast("long"))
+    return reduce(lambda a, b: a + b, parts)
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int) -> int:
     """Buckets of about ``bucket_bytes`` each: one narrow aggregate over all rows."""
-    total = df.agg(F.sum(F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 64)).first()[0] or 0
+    total = df.agg(F.sum(row_bytes(df))).first()[0] or 0
     return 1 + int(total // bucket_bytes)
 
 
+@contextmanager
+def one_group_at_a_time(spark: SparkSession) -> Iterator[None]:
+    """Plan aggregates of lists over sorted rows, one group in memory, not over a hash map of groups."""
+    name = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def external_shuffle(df: DataFrame, seed: int, buckets: int, scratch: Scratch) -> DataFrame:
     """``df`` as column ``row``, with ``bucket`` and the place ``at`` (from 0) in its bucket."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
@@ -44,14 +82,15 @@ def external_shuffle(df: DataFrame, seed: int, buckets: int, scratch: Scratch) -
     # Ordered input, a fixed number of partitions and a literal seed: the same rows
     # come out in the same order whenever a task runs again.
     gathered = (
-        scattered.repartition(buckets, "bucket")
+        scattered.repartition(min(buckets, PARTITIONS), "bucket")
         .groupBy("bucket")
         .agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
         .sortWithinPartitions("bucket")
     )
     shuffled = gathered.select("bucket", F.shuffle("rows", seed).alias("rows"))
     flat = shuffled.select("bucket", F.posexplode("rows").alias("at", "item"))
-    return scratch.write(flat.select("bucket", F.col("at").cast("long").alias("at"), F.col("item.row").alias("row")), "buckets")
+    with one_group_at_a_time(df.sparkSession):
+        return scratch.write(flat.select("bucket", F.col("at").cast("long").alias("at"), F.col("item.row").alias("row")), "buckets")
 
 
 def bucket_starts(shuffled: DataFrame) -> tuple[DataFrame, int]:
@@ -71,7 +110,6 @@ def shuffle_into_shards(
     shards: int = 40,
     seed: int = 20_240_229,
     bucket_bytes: int = 16 << 20,
-    text: str = "text",
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """All rows of ``df`` (struct column ``row``) with shard (0 to shards - 1) and slot.
@@ -81,7 +119,7 @@ def shuffle_into_shards(
     no rows; the columns of ``df`` stay inside ``row``, so no name can clash.
     """
     scratch = scratch or Scratch(df.sparkSession, "sharding")
-    buckets = bucket_count(df, bucket_bytes, text)
+    buckets = bucket_count(df, bucket_bytes)
     shuffled = external_shuffle(df, seed, buckets, scratch)
     starts, total = bucket_starts(shuffled)
     least, more = divmod(total, shards)  # the first `more` shards have one row extra
