@@ -73,6 +73,15 @@ def _codec(kept=[]):
     return kept[0]
 
 
+def test_kept_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(piece_codec, "WORD_BYTES", 5000)
+    codec, rng = piece_codec.Codec(PIECES), random.Random(2)
+    for k in range(40):
+        texts = [" ".join(f"w{rng.randrange(400)}" + "z" * (300 * (k % 3)) for _ in range(6)) + "\nend" for _ in range(3)]
+        assert [i.tolist() for i in codec.encode(texts)] == codec.lib.encode(texts)
+        assert codec.held < 5000 + 21 * 2000 and codec.held >= sum(len(w) + len(b) for w, b in codec.words.items())
+
+
 def test_character_map_takes_the_longest_prefix():
     # A double array by hand: "a" -> "x", "ab" -> "yz".  Units: label, leaf flag, offset.
     units = [0] * 512

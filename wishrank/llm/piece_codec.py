@@ -27,8 +27,9 @@ from .common import slices
 
 #: The mark that stands for a space in pieces.
 MARK = "▁".encode()
-#: Distinct words whose ids a task keeps.
-WORDS = 400_000
+#: Bytes of the distinct words and their ids that a task keeps, and what an entry takes beside them.
+WORD_BYTES = 96 << 20
+_ENTRY = 200
 #: A text that words alone do not make up: space runs, spaces or line ends at the start, literal marks.
 _ODD = re.compile("^[ \\n]| $|  | \\n|\\n |▁").search
 
@@ -90,6 +91,7 @@ class Codec:
         pieces = [p.piece for p in proto.pieces]
         self.by_word = spec.add_dummy_prefix and not self.map.units and not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.width = np.array([1 if p.type == byte else 0 if p.type == unknown else len(p.piece.encode()) for p in proto.pieces], dtype=np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -108,12 +110,14 @@ class Codec:
             for line in lines:
                 keys += ("\n" + line).split(" ")
             cut.append(keys)
-        if len(self.words) > WORDS:
+        if self.held > WORD_BYTES:
             self.words.clear()
+            self.held = 0
         new = list({k for keys in cut if keys for k in keys}.difference(self.words))
         for key, ids in zip(new, self.lib.encode(new, num_threads=1)):
             # In front of a line end the library's dummy prefix is a piece of its own.
             self.words[key] = array("i", ids[1:] if key[0] == "\n" else ids).tobytes()
+            self.held += _ENTRY + len(key) + 4 * len(ids)
         get = self.words.__getitem__
         return [
             np.frombuffer(b"".join(map(get, keys)), dtype=np.int32) if keys else np.asarray(self.lib.encode(t), dtype=np.int32)
