@@ -59,3 +59,27 @@ def test_scans_are_pruned_and_filtered(spark):
     li = [line for line in plan.splitlines() if "lineitem" in line][0]
     assert "l_extendedprice" not in li and "l_shipdate" not in li
     assert "GreaterThanOrEqual(l_quantity,47.0)" in li
+
+
+def _above(plan: str, node: str) -> list[str]:
+    lines = plan.splitlines()
+    return lines[: next(k for k, line in enumerate(lines) if re.search(node, line.strip()))]
+
+
+def test_full_candidates_are_grouped_where_their_lists_are_spelled_out(rec):
+    from wishrank.functions.fingerprint import distinct_check
+
+    best = _plan(rec.best_per_item(full=True))
+    assert not [line for line in _above(best, r"\bUnion$") if "Exchange" in line]
+    assert len(re.findall(r"Exchange hashpartitioning\(custno#\d+, \d+\), REPARTITION_BY_NUM", best)) == 2
+    # The check for repeated rows shuffles its one row per bucket and task only.
+    checked = [line for line in _above(_plan(distinct_check(rec.bucket_candidates_full(), by="bucket")), r"\bUnion$") if "Exchange" in line]
+    assert len(checked) == 1 and "hashpartitioning(bucket" in checked[0]
+
+
+def test_tasks_follow_the_rows(rec, monkeypatch):
+    from wishrank.plans import recommend
+
+    fresh = Recommender.from_sf_dir(rec.spark, SF, Params())
+    monkeypatch.setattr(recommend, "ROWS_PER_TASK", 10)
+    assert fresh.tasks == -(-fresh.wishlist_set.count() // 10)
