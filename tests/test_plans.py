@@ -77,6 +77,17 @@ def test_full_candidates_are_grouped_where_their_lists_are_spelled_out(rec):
     assert len(checked) == 1 and "hashpartitioning(bucket" in checked[0]
 
 
+def test_flat_candidates_shuffle_no_spelled_out_list(rec):
+    plan = _plan(rec.flat_candidates())
+    assert not re.search(r"Exchange hashpartitioning\(cust_?no#\d+, recomdlist#\d+, discounttype", plan, re.IGNORECASE)
+
+
+def test_flat_rows_are_dealt_before_lists_are_spelled_out(rec):
+    union = _plan(rec.flat_result()).split("Union", 1)[1]
+    assert union.count("REPARTITION_BY_NUM") >= 1
+    assert re.search(r"Exchange hashpartitioning\(custno#\d+, \d+\), REPARTITION_BY_NUM", union)
+
+
 def test_tasks_follow_the_rows(rec, monkeypatch):
     from wishrank.plans import recommend
 
