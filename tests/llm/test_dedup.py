@@ -281,3 +281,19 @@ def test_words_of_one_checksum_stay_apart(spark):
     rows = [(1, f"the big red {a} runs"), (2, f"the big red {b} runs"), (3, f"x the big red {a} runs the big red {b} runs")]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.group_documents(documents(spark, rows)).collect()}
     assert got == {1: (1, 1), 2: (1, 2), 3: (7, 3)}
+
+
+def test_lines_and_gaps_cut_at_once_are_cut_as_one_after_the_other():
+    import random
+    import re
+
+    from wishrank.llm.line_dedup import GAP, GAP_OR_NEWLINE, _cutter
+
+    draw = random.Random(4)
+    gap = re.compile(GAP).split
+    for _ in range(5000):
+        text = "".join(draw.choices("ab.!?。”\"')] \t\n\x0b\x0c\r", k=draw.randint(0, 30)))
+        assert _cutter("\n")(text) == [unit for line in text.split("\n") for unit in gap(line)]
+        assert "".join(_cutter("\n", keep=True)(text)) == text
+    # A match can only begin with white space, so a search need not stop elsewhere.
+    assert GAP_OR_NEWLINE.startswith(r"[\t-\r ]")
