@@ -297,3 +297,53 @@ def test_lines_and_gaps_cut_at_once_are_cut_as_one_after_the_other():
         assert "".join(_cutter("\n", keep=True)(text)) == text
     # A match can only begin with white space, so a search need not stop elsewhere.
     assert GAP_OR_NEWLINE.startswith(r"[\t-\r ]")
+
+
+def long_run_corpus(seed: int) -> list[tuple[int, str]]:
+    """Lines of one or two words; stretches of up to 80 lines come again, whole, in part and changed."""
+    rng = random.Random(seed)
+    pool = [" ".join(words(rng, rng.randrange(1, 3))) for _ in range(6)]
+    rows = [(k, [rng.choice(pool) for _ in range(rng.randrange(20, 80))]) for k in range(12)]
+    for k in range(20):
+        lines = list(rows[rng.randrange(12)][1])
+        for _ in range(rng.randrange(3)):
+            lines[rng.randrange(len(lines))] = rng.choice([*pool, f"own{k}"])
+        rows.append((100 + k, lines[rng.randrange(5) :]))
+    return [(i, "\n".join(lines)) for i, lines in rows]
+
+
+@pytest.mark.parametrize("seed,min_words", [(1, 15), (2, 16), (3, 24), (4, 31), (5, 48), (6, 70)])
+def test_line_dedup_of_long_windows(spark, seed, min_words):
+    """Windows below, at and above the units that a digest names."""
+    rows = long_run_corpus(seed)
+    gone = brute_lines(rows, min_words)
+    got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows), min_words=min_words).collect()}
+    assert got == {i: "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone[k]) for k, (i, t) in enumerate(rows)}
+    assert any(gone.values())
+
+
+def test_short_windows_need_no_rounds(spark, monkeypatch):
+    """Windows of ten words are named in one pass, whatever number of units they take."""
+    written = []
+    plain = Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name="stage": (written.append(name), plain(self, df, name))[1])
+    line_dedup.dedup_lines(documents(spark, long_run_corpus(7))).collect()
+    assert [n for n in written if n == "tuples" or n.startswith("level")] == ["level0"]
+    written.clear()
+    line_dedup.dedup_lines(documents(spark, long_run_corpus(7)), min_words=40).collect()
+    assert "tuples" in written and "level4" in written
+
+
+def test_digests_tell_runs_apart():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 3, 4000)
+    at = np.arange(4000)
+    n = np.minimum(rng.integers(1, 16, 4000), 4000 - at)
+    a, b = line_dedup._digests(ids, at, n, n)
+    runs = [tuple(ids[k : k + m]) for k, m in enumerate(n)]
+    assert len(set(zip(runs))) == len(set(zip(runs, a.tolist(), b.tolist()))) == len(set(a.tolist())) == len(set(b.tolist()))
+    # Past the end stands -1, also where the place is the last one.
+    some = [line_dedup._digests(ids, np.array([3999]), np.array([1]), np.array([w]))[0][0] for w in (1, 2, 16)]
+    assert len(set(some)) == 3
