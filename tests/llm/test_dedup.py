@@ -347,3 +347,11 @@ def test_digests_tell_runs_apart():
     # Past the end stands -1, also where the place is the last one.
     some = [line_dedup._digests(ids, np.array([3999]), np.array([1]), np.array([w]))[0][0] for w in (1, 2, 16)]
     assert len(set(some)) == 3
+
+
+def test_line_dedup_returns_texts_once(spark, docs):
+    """What is not wanted of a row, as its former text, does not come back from Python."""
+    every = {(r.row.doc_id, r.row.text, r.text, r.n_units_deleted) for r in line_dedup.dedup_lines(docs).collect()}
+    few = line_dedup.dedup_lines(docs, keep=["doc_id"])
+    assert few.schema["row"].dataType.names == ["doc_id"]
+    assert {(r.row.doc_id, r.text, r.n_units_deleted) for r in few.collect()} == {(i, t, n) for i, _, t, n in every}
